@@ -63,6 +63,11 @@ def lambert93_to_wgs84(x: Column, y: Column, steps: int = 6) -> Column:
     return _xy(lon, F.degrees(lat))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` evaluated once, however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
 def utm_to_wgs84(x: Column, y: Column, lon0: Column, false_northing: Column) -> Column:
     """Inverse transverse Mercator by the Krüger series, to the fourth order."""
     n = GRS80_F / (2 - GRS80_F)
@@ -79,18 +84,31 @@ def utm_to_wgs84(x: Column, y: Column, lon0: Column, false_northing: Column) ->
         56 * n**3 / 15 - 136 * n**4 / 35,
         4279 * n**4 / 630,
     )
-    xi = (y - false_northing) / (UTM_K0 * a_bar)
-    eta = (x - F.lit(UTM_FALSE_EASTING)) / (UTM_K0 * a_bar)
-    xi1, eta1 = xi, eta
-    for j, b in enumerate(beta, 1):
-        xi1 = xi1 - F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b
-        eta1 = eta1 - F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    lat = chi
-    for j, d in enumerate(delta, 1):
-        lat = lat + F.sin(chi * (2 * j)) * d
-    lon = lon0 + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1)))
-    return _xy(lon, F.degrees(lat))
+
+    def conformal(p: Column) -> Column:
+        xi, eta = p["xi"], p["eta"]
+        for j, b in enumerate(beta, 1):
+            xi = xi - F.sin(p["xi"] * (2 * j)) * F.cosh(p["eta"] * (2 * j)) * b
+            eta = eta - F.cos(p["xi"] * (2 * j)) * F.sinh(p["eta"] * (2 * j)) * b
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def sphere(p: Column) -> Column:
+        return F.struct(
+            F.asin(F.sin(p["xi"]) / F.cosh(p["eta"])).alias("chi"),
+            (lon0 + F.degrees(F.atan2(F.sinh(p["eta"]), F.cos(p["xi"])))).alias("lon"),
+        )
+
+    def ellipsoid(p: Column) -> Column:
+        lat = p["chi"]
+        for j, d in enumerate(delta, 1):
+            lat = lat + F.sin(p["chi"] * (2 * j)) * d
+        return _xy(p["lon"], F.degrees(lat))
+
+    plane = F.struct(
+        ((y - false_northing) / (UTM_K0 * a_bar)).alias("xi"),
+        ((x - F.lit(UTM_FALSE_EASTING)) / (UTM_K0 * a_bar)).alias("eta"),
+    )
+    return _let(plane, lambda p: _let(conformal(p), lambda q: _let(sphere(q), ellipsoid)))
 
 
 def to_wgs84(x: Column, y: Column, srid: Column | int) -> Column:
@@ -110,9 +128,13 @@ def to_wgs84(x: Column, y: Column, srid: Column | int) -> Column:
         else:
             raise ValueError(f"unsupported SRID: {srid}")
         return F.when(x.isNotNull() & y.isNotNull(), out)
-    out = F.when(srid == WGS84, _xy(x, y)).when(srid == LAMBERT93, lambert93_to_wgs84(x, y))
-    for code, (lon0, north) in UTM_ZONES.items():
-        out = out.when(srid == code, utm_to_wgs84(x, y, F.lit(lon0), F.lit(north)))
+    lon0 = F.try_element_at(F.create_map(*[F.lit(v) for k, z in UTM_ZONES.items() for v in (k, z[0])]), srid.cast("int"))
+    north = F.try_element_at(F.create_map(*[F.lit(v) for k, z in UTM_ZONES.items() for v in (k, z[1])]), srid.cast("int"))
+    out = (
+        F.when(srid == WGS84, _xy(x, y))
+        .when(srid == LAMBERT93, lambert93_to_wgs84(x, y))
+        .when(srid.isin(*UTM_ZONES), utm_to_wgs84(x, y, lon0, north))
+    )
     missing = F.raise_error(F.concat(F.lit("unsupported SRID: "), F.coalesce(srid.cast("string"), F.lit("NULL"))))
     return F.when(x.isNotNull() & y.isNotNull(), out.otherwise(missing.cast("struct<x:double,y:double>")))
 
@@ -147,102 +169,104 @@ def multi(geom: Column) -> Column:
 # ---- measures ---------------------------------------------------------------
 
 
-def _signed_ring_sums(ring: Column, ox: Column, oy: Column) -> Column:
-    """Twice the signed area and the first moments (times six), around an origin."""
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+def _zero() -> Column:
+    return F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
 
-    def step(acc: Column, i: Column) -> Column:
-        p, q = F.get(ring, i - 1), F.get(ring, i)
-        px, py, qx, qy = p["x"] - ox, p["y"] - oy, q["x"] - ox, q["y"] - oy
-        cross = px * qy - qx * py
-        return F.struct(
-            (acc["a"] + cross).alias("a"),
-            (acc["mx"] + (px + qx) * cross).alias("mx"),
-            (acc["my"] + (py + qy) * cross).alias("my"),
-        )
 
-    return F.aggregate(_steps(ring), zero, step)
+def _moved(points: Column, origin: Column) -> Column:
+    return F.transform(points, lambda p: _xy(p["x"] - origin["x"], p["y"] - origin["y"]))
 
 
-def _steps(points: Column) -> Column:
-    """1 .. number of edges, empty for fewer than two points."""
-    return F.when(F.size(points) > 1, F.sequence(F.lit(1), F.size(points) - 1)).otherwise(F.array().cast("array<int>"))
+def _edge_terms(points: Column, f: Callable[[Column, Column], Column]) -> Column:
+    """``f(p, q)`` for each pair of neighbours; nothing for fewer than two points."""
+    n = F.greatest(F.size(points) - 1, F.lit(0))
+    return F.zip_with(F.slice(points, F.lit(1), n), F.slice(points, F.lit(2), n), f)
 
 
-def _moment_total(sums: Column) -> Column:
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+def _sum_terms(terms: Column) -> Column:
+    """Weights ``w`` and weighted positions summed to ``a``, ``mx``, ``my``."""
     return F.aggregate(
-        sums,
-        zero,
-        lambda acc, s: F.struct(
-            (acc["a"] + s["a"]).alias("a"), (acc["mx"] + s["mx"]).alias("mx"), (acc["my"] + s["my"]).alias("my")
+        terms,
+        _zero(),
+        lambda acc, t: F.struct(
+            (acc["a"] + t["w"]).alias("a"), (acc["mx"] + t["x"] * t["w"]).alias("mx"), (acc["my"] + t["y"] * t["w"]).alias("my")
         ),
     )
 
 
-def _polygon_sums(polygon: Column, ox: Column, oy: Column) -> Column:
-    """Area sums of a polygon: the shell counts positive, holes negative, whatever their turn."""
-
-    def weigh(ring: Column, i: Column) -> Column:
-        return F.transform(
-            F.array(_signed_ring_sums(ring, ox, oy)),
-            lambda s: _scale(s, F.signum(s["a"]) * F.when(i == 0, 1.0).otherwise(-1.0)),
-        )[0]
-
-    return _moment_total(F.transform(polygon, weigh))
+def _ring_sums(ring: Column, origin: Column) -> Column:
+    """Twice the signed area of a ring, and three times its first moments."""
+    terms = _edge_terms(
+        _moved(ring, origin),
+        lambda p, q: F.struct(
+            (p["x"] * q["y"] - q["x"] * p["y"]).alias("w"), (p["x"] + q["x"]).alias("x"), (p["y"] + q["y"]).alias("y")
+        ),
+    )
+    return _sum_terms(terms)
 
 
-def _scale(s: Column, w: Column) -> Column:
-    return F.struct((s["a"] * w).alias("a"), (s["mx"] * w).alias("mx"), (s["my"] * w).alias("my"))
+def _line_sums(line: Column, origin: Column) -> Column:
+    """Length of a line and its length-weighted sums."""
+    terms = _edge_terms(
+        _moved(line, origin),
+        lambda p, q: F.struct(
+            F.hypot(q["x"] - p["x"], q["y"] - p["y"]).alias("w"),
+            ((p["x"] + q["x"]) / 2).alias("x"), ((p["y"] + q["y"]) / 2).alias("y"),
+        ),
+    )
+    return _sum_terms(terms)
 
 
-def _line_sums(line: Column, ox: Column, oy: Column) -> Column:
-    """Length and length-weighted sums of a line."""
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
+def _total(sums: Column) -> Column:
+    return F.aggregate(
+        sums,
+        _zero(),
+        lambda acc, s: F.struct(
+            (acc["a"] + s["a"]).alias("a"), (acc["mx"] + s["mx"]).alias("mx"), (acc["my"] + s["my"]).alias("my")
+        ),
+    )
 
-    def step(acc: Column, i: Column) -> Column:
-        p, q = F.get(line, i - 1), F.get(line, i)
-        px, py, qx, qy = p["x"] - ox, p["y"] - oy, q["x"] - ox, q["y"] - oy
-        length = F.sqrt((qx - px) * (qx - px) + (qy - py) * (qy - py))
-        return F.struct(
-            (acc["a"] + length).alias("a"),
-            (acc["mx"] + (px + qx) / 2 * length).alias("mx"),
-            (acc["my"] + (py + qy) / 2 * length).alias("my"),
-        )
 
-    return F.aggregate(_steps(line), zero, step)
+def _signed_by_role(s: Column, i: Column) -> Column:
+    """Ring sums turned so that the shell (first ring) counts positive and holes negative."""
+    return _let(
+        F.signum(s["a"]) * F.when(i == 0, 1.0).otherwise(-1.0),
+        lambda w: F.struct((s["a"] * w).alias("a"), (s["mx"] * w).alias("mx"), (s["my"] * w).alias("my")),
+    )
 
 
 def centroid_multipolygon(geom: Column) -> Column:
     """Area-weighted centroid; NULL without area. Sums start at the first vertex for precision."""
-    first = F.get(F.get(F.get(geom, 0), 0), 0)
-    sums = _moment_total(F.transform(geom, lambda poly: _polygon_sums(poly, first["x"], first["y"])))
-    return F.transform(
-        F.array(sums),
-        lambda s: F.when(
-            s["a"] != 0, _xy(first["x"] + s["mx"] / (s["a"] * 3), first["y"] + s["my"] / (s["a"] * 3))
-        ),
-    )[0]
 
+    def around(o: Column) -> Column:
+        rings = F.transform(geom, lambda poly: F.transform(F.transform(poly, lambda r: _ring_sums(r, o)), _signed_by_role))
+        return _let(
+            _total(F.flatten(rings)),
+            lambda s: F.when(s["a"] != 0, _xy(o["x"] + s["mx"] / (s["a"] * 3), o["y"] + s["my"] / (s["a"] * 3))),
+        )
 
-def centroid_polygon(geom: Column) -> Column:
-    return centroid_multipolygon(F.array(geom))
+    return _let(F.get(F.get(F.get(geom, 0), 0), 0), around)
 
 
 def centroid_multiline(geom: Column) -> Column:
     """Length-weighted centroid; NULL for zero length."""
-    first = F.get(F.get(geom, 0), 0)
-    sums = _moment_total(F.transform(geom, lambda line: _line_sums(line, first["x"], first["y"])))
-    return F.transform(
-        F.array(sums),
-        lambda s: F.when(s["a"] > 0, _xy(first["x"] + s["mx"] / s["a"], first["y"] + s["my"] / s["a"])),
-    )[0]
+
+    def around(o: Column) -> Column:
+        return _let(
+            _total(F.transform(geom, lambda line: _line_sums(line, o))),
+            lambda s: F.when(s["a"] > 0, _xy(o["x"] + s["mx"] / s["a"], o["y"] + s["my"] / s["a"])),
+        )
+
+    return _let(F.get(F.get(geom, 0), 0), around)
+
+
+def centroid_polygon(geom: Column) -> Column:
+    return centroid_multipolygon(F.array(geom))
 
 
 def twice_area(ring: Column) -> Column:
     """Twice the signed area of a ring, summed from its first vertex."""
-    first = F.get(ring, 0)
-    return _signed_ring_sums(ring, first["x"], first["y"])["a"]
+    return _let(F.get(ring, 0), lambda o: _ring_sums(ring, o)["a"])
 
 
 def bbox(geom: Column, depth: int) -> Column:
@@ -279,18 +303,11 @@ def edges(geom: Column, depth: int) -> Column:
     rings = geom
     for _ in range(depth - 2):
         rings = F.flatten(rings)
-    return F.flatten(
-        F.transform(
-            rings,
-            lambda r: F.transform(
-                _steps(r),
-                lambda i: F.struct(
-                    F.get(r, i - 1)["x"].alias("x1"), F.get(r, i - 1)["y"].alias("y1"),
-                    F.get(r, i)["x"].alias("x2"), F.get(r, i)["y"].alias("y2"),
-                ),
-            ),
-        )
-    )
+
+    def edge(p: Column, q: Column) -> Column:
+        return F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"))
+
+    return F.flatten(F.transform(rings, lambda r: _edge_terms(r, edge)))
 
 
 def covers(edge_array: Column, x: Column, y: Column) -> Column:
@@ -361,9 +378,11 @@ def polygon_is_valid(geom: Column, depth: int = 3) -> Column:
     """
     multi_geom = geom if depth == 3 else F.array(geom)
     rings_ok = F.forall(multi_geom, lambda poly: F.forall(poly, ring_is_valid) & (F.size(poly) > 0))
-    all_edges = edges(multi_geom, 3)
-    crossing = F.exists(
-        all_edges, lambda e: F.exists(all_edges, lambda f: _boxes_meet(e, f) & _edges_cross(e, f))
+    crossing = _let(
+        edges(multi_geom, 3),
+        lambda all_edges: F.exists(
+            all_edges, lambda e: F.exists(all_edges, lambda f: _boxes_meet(e, f) & _edges_cross(e, f))
+        ),
     )
     return F.coalesce((F.size(multi_geom) > 0) & rings_ok & ~crossing, F.lit(False))
 

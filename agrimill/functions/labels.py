@@ -60,7 +60,7 @@ def flags(mentions: Column, names: dict[str, str]) -> Column:
 
 def list_literal(col: Column) -> Column:
     """Comma list to an array of trimmed items; NULL and blank give an empty array."""
-    parts = F.transform(F.split(F.coalesce(col, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(col, F.lit("")), ","), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

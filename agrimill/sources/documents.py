@@ -130,4 +130,5 @@ def ingest_geometry(df: DataFrame, col: str, depth: int, srid: int) -> DataFrame
 def nomenclature(df: DataFrame) -> DataFrame:
     """(name, locale, label) rows to one label map per name."""
     pairs = F.array_sort(F.collect_list(F.struct("locale", "label")))
-    return df.dropDuplicates(["name", "locale"]).groupBy("name").agg(F.map_from_entries(pairs).alias("label"))
+    one = df.groupBy("name", "locale").agg(F.min("label").alias("label"))
+    return one.groupBy("name").agg(F.map_from_entries(pairs).alias("label"))
