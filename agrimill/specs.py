@@ -20,8 +20,7 @@ LABEL = "map<string,string>"
 class TableSpec:
     """Table name, source it belongs to, Spark DDL and constraints.
 
-    ``fks`` maps a column to the (table, column) it points at. ``clustered_by``
-    names the columns a large table is partitioned by on write.
+    ``fks`` maps a column to the (table, column) it points at.
     """
 
     source: str
