@@ -11,6 +11,7 @@ from pyspark.sql import Column, functions as F
 # Accented letters and the plain letters they become in a name.
 ACCENTED = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿÀÂÄÁÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+LIGATURES = str.maketrans({"œ": "oe", "æ": "ae", "Œ": "OE", "Æ": "AE", "ß": "ss"})
 
 
 def join_skip_null(*cols: Column | str) -> Column:
@@ -59,7 +60,7 @@ def snake(col: Column) -> Column:
 
 def snake_name(name: str) -> str:
     """The same rule for one header cell (headers are read on the driver)."""
-    plain = unicodedata.normalize("NFKD", name.replace("œ", "oe").replace("æ", "ae").replace("ß", "ss"))
+    plain = unicodedata.normalize("NFKD", name.translate(LIGATURES))
     plain = "".join(c if ord(c) < 128 else "?" for c in plain if not unicodedata.combining(c))
     plain = re.sub("([A-Z0-9]+)([A-Z][a-z])", r"\1_\2", plain)
     plain = re.sub("([a-z0-9])([A-Z])", r"\1_\2", plain).lower()

@@ -16,10 +16,6 @@ from agrimill.functions.geometry import from_coordinates
 FEATURE_PROPERTIES = "id string, commune string, prefixe string, section string, numero string, contenance double"
 
 
-def _feature_schema(coordinates: str, properties: str) -> str:
-    return f"struct<geometry:struct<type:string,coordinates:{coordinates}>,properties:struct<{_fields(properties)}>>"
-
-
 def _fields(ddl: str) -> str:
     return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in StructType.fromDDL(ddl).fields)
 
