@@ -13,6 +13,12 @@ from agrimill.functions.text import header_names
 NEVER = "\u0001"
 
 
+def _accept(spark: SparkSession, encoding: str) -> str:
+    """Let the text readers take any charset the JVM knows, not only the standard six."""
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return encoding
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -28,7 +34,7 @@ def read_delimited(
     quotes and makes each file one task, so it is off unless a source needs it.
     """
     reader = (
-        spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+        spark.read.option("header", True).option("sep", sep).option("encoding", _accept(spark, encoding))
         .option("quote", '"').option("escape", '"').option("nullValue", NEVER).option("emptyValue", "")
         .option("multiLine", multi_line).option("inferSchema", False).option("mode", "FAILFAST")
         .option("enforceSchema", True)
@@ -59,7 +65,7 @@ def repair_lines(
 ) -> DataFrame:
     """File with a broken header line: names replaced, blank lines dropped, any charset."""
     return (
-        spark.read.option("header", True).option("enforceSchema", True).option("sep", sep).option("encoding", encoding)
+        spark.read.option("header", True).option("enforceSchema", True).option("sep", sep).option("encoding", _accept(spark, encoding))
         .option("quote", '"').option("escape", '"').option("nullValue", NEVER).option("emptyValue", "")
         .schema(StructType([StructField(h, StringType()) for h in headers]))
         .csv(path)
@@ -81,7 +87,7 @@ def read_positional(
 ) -> DataFrame:
     """``positional`` over files in the given charset; the split stays on the executors."""
     lines = (
-        spark.read.option("sep", NEVER).option("quote", "").option("encoding", encoding)
+        spark.read.option("sep", NEVER).option("quote", "").option("encoding", _accept(spark, encoding))
         .schema("value string").csv(path)
     )
     return positional(lines, columns, sep)

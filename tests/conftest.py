@@ -31,4 +31,5 @@ def rows(df, *columns, sort=True):
 
 
 def ring(x, y, w, h):
+    x, y, w, h = float(x), float(y), float(w), float(h)
     return [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
