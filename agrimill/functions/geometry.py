@@ -195,14 +195,22 @@ def _sum_terms(terms: Column) -> Column:
 
 
 def _ring_sums(ring: Column, origin: Column) -> Column:
-    """Twice the signed area of a ring, and three times its first moments."""
-    terms = _edge_terms(
-        _moved(ring, origin),
-        lambda p, q: F.struct(
-            (p["x"] * q["y"] - q["x"] * p["y"]).alias("w"), (p["x"] + q["x"]).alias("x"), (p["y"] + q["y"]).alias("y")
-        ),
-    )
-    return _sum_terms(terms)
+    """Twice the signed area of a closed ring, and three times its first moments.
+
+    The walk starts at the origin: the edge from there to the first vertex has
+    no area, so it adds nothing.
+    """
+    start = F.struct(*[F.lit(0.0).alias(n) for n in ("a", "mx", "my", "px", "py")])
+
+    def step(acc: Column, p: Column) -> Column:
+        qx, qy = p["x"] - origin["x"], p["y"] - origin["y"]
+        cross = acc["px"] * qy - qx * acc["py"]
+        return F.struct(
+            (acc["a"] + cross).alias("a"), (acc["mx"] + (acc["px"] + qx) * cross).alias("mx"),
+            (acc["my"] + (acc["py"] + qy) * cross).alias("my"), qx.alias("px"), qy.alias("py"),
+        )
+
+    return F.aggregate(ring, start, step)
 
 
 def _line_sums(line: Column, origin: Column) -> Column:
@@ -323,12 +331,11 @@ def covers(edge_array: Column, x: Column, y: Column) -> Column:
 
 
 def on_edge(e: Column, x: Column, y: Column) -> Column:
+    """Point on the edge: between its ends on both axes, and on its line."""
+    between_y = ((y >= e["y1"]) & (y <= e["y2"])) | ((y >= e["y2"]) & (y <= e["y1"]))
+    between_x = ((x >= e["x1"]) & (x <= e["x2"])) | ((x >= e["x2"]) & (x <= e["x1"]))
     side = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-    return (
-        (side == 0)
-        & (x >= F.least(e["x1"], e["x2"])) & (x <= F.greatest(e["x1"], e["x2"]))
-        & (y >= F.least(e["y1"], e["y2"])) & (y <= F.greatest(e["y1"], e["y2"]))
-    )
+    return between_y & between_x & (side == 0)
 
 
 def _turn(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
@@ -344,13 +351,21 @@ def _edges_cross(e: Column, f: Column) -> Column:
     return (d1 * d2 < 0) & (d3 * d4 < 0)
 
 
+def _boxed_edges(geom: Column) -> Column:
+    """Edges with their number and box, so that a pair is ruled out by plain comparisons."""
+
+    def boxed(e: Column, i: Column) -> Column:
+        return F.struct(
+            i.alias("i"), e["x1"].alias("x1"), e["y1"].alias("y1"), e["x2"].alias("x2"), e["y2"].alias("y2"),
+            F.least(e["x1"], e["x2"]).alias("lx"), F.greatest(e["x1"], e["x2"]).alias("hx"),
+            F.least(e["y1"], e["y2"]).alias("ly"), F.greatest(e["y1"], e["y2"]).alias("hy"),
+        )
+
+    return F.transform(edges(geom, 3), boxed)
+
+
 def _boxes_meet(e: Column, f: Column) -> Column:
-    return (
-        (F.least(e["x1"], e["x2"]) <= F.greatest(f["x1"], f["x2"]))
-        & (F.least(f["x1"], f["x2"]) <= F.greatest(e["x1"], e["x2"]))
-        & (F.least(e["y1"], e["y2"]) <= F.greatest(f["y1"], f["y2"]))
-        & (F.least(f["y1"], f["y2"]) <= F.greatest(e["y1"], e["y2"]))
-    )
+    return (e["lx"] <= f["hx"]) & (f["lx"] <= e["hx"]) & (e["ly"] <= f["hy"]) & (f["ly"] <= e["hy"])
 
 
 def _finite(p: Column) -> Column:
@@ -361,13 +376,11 @@ def _finite(p: Column) -> Column:
 
 
 def ring_is_valid(ring: Column) -> Column:
-    first, last = F.get(ring, 0), F.get(ring, F.size(ring) - 1)
-    return (
-        (F.size(ring) >= 4)
-        & (first["x"] == last["x"]) & (first["y"] == last["y"])
-        & F.forall(ring, _finite)
-        & (twice_area(ring) != 0)
-    )
+    def closed(first: Column) -> Column:
+        last = F.element_at(ring, -1)
+        return (first["x"] == last["x"]) & (first["y"] == last["y"]) & (_ring_sums(ring, first)["a"] != 0)
+
+    return (F.size(ring) >= 4) & F.forall(ring, _finite) & _let(F.get(ring, 0), closed)
 
 
 def polygon_is_valid(geom: Column, depth: int = 3) -> Column:
@@ -379,9 +392,10 @@ def polygon_is_valid(geom: Column, depth: int = 3) -> Column:
     multi_geom = geom if depth == 3 else F.array(geom)
     rings_ok = F.forall(multi_geom, lambda poly: F.forall(poly, ring_is_valid) & (F.size(poly) > 0))
     crossing = _let(
-        edges(multi_geom, 3),
+        _boxed_edges(multi_geom),
         lambda all_edges: F.exists(
-            all_edges, lambda e: F.exists(all_edges, lambda f: _boxes_meet(e, f) & _edges_cross(e, f))
+            all_edges,
+            lambda e: F.exists(all_edges, lambda f: (f["i"] > e["i"] + 1) & _boxes_meet(e, f) & _edges_cross(e, f)),
         ),
     )
     return F.coalesce((F.size(multi_geom) > 0) & rings_ok & ~crossing, F.lit(False))

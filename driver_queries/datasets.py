@@ -62,7 +62,7 @@ def d_land_parcels(t: Tables):
     x, y = (c("p_partkey") % 50).cast("double"), c("p_size").cast("double")
     two = F.lit(2.0)
     r = F.when(c("p_size") % 3 == 0, quad(x, y, two, two, bow=True)).otherwise(quad(x, y, two, two))
-    features = t.part.select(
+    features = t.wide("part", "p_partkey", "p_brand", "p_type", "p_size", "p_name").select(
         F.concat("p_brand", "p_type").alias("id"), F.lit("17001").alias("commune"), F.lit("000").alias("prefixe"),
         F.when(c("p_size") < 20, "0").otherwise(c("p_name")).alias("section"), txt("p_partkey").alias("numero"),
         c("p_size").cast("double").alias("contenance"), F.array(F.array(r)).alias("shape"),
@@ -85,7 +85,7 @@ def d_market_prices(t: Tables):
     code = F.when(c("l_returnflag") == "A", "BLTPAN").when(c("l_returnflag") == "N", "MAI").otherwise("TRI")
     day = F.date_format("l_shipdate", "dd/MM/yyyy")
     price = F.concat(F.lit("€"), txt(F.floor(c("l_extendedprice") / 1000)))
-    payload = t.lineitem.select(
+    payload = t.wide("lineitem", "l_returnflag", "l_linestatus", "l_shipdate", "l_suppkey", "l_quantity", "l_extendedprice").select(
         code.alias("product_code"), F.concat(F.lit("S"), txt(c("l_suppkey") % 7)).alias("memberStateCode"), day.alias("beginDate"),
         F.lit(None).cast("string").alias("endDate"), F.lit("Produit").alias("productName"),
         F.concat(F.lit("Marche d'ici "), "l_linestatus").alias("marketName"), F.lit(None).cast("string").alias("stageName"),
@@ -236,7 +236,7 @@ def d_buildings(t: Tables):
     x, y = c("p_size").cast("double"), (c("p_partkey") % 70).cast("double")
     one, two = F.lit(1.0), F.lit(2.0)
     second = F.when(c("p_type") == "PROMO", quad(x + 20, y, one, one, bow=True)).otherwise(quad(x + 20, y, one, one))
-    raw = t.part.select(
+    raw = t.wide("part", "p_partkey", "p_brand", "p_type", "p_size").select(
         c("p_brand").alias("id"), c("p_type").alias("usage1"), F.lit(4326).alias("srid"), F.array(F.array(quad(x, y, two, two)), F.array(second)).alias("geom")
     )
     b = hydrography.buildings(raw)
@@ -254,7 +254,7 @@ FROM p LEFT JOIN t ON p.x + 0.1 BETWEEN t.x AND t.x + 6 AND p.y + 0.1 BETWEEN t.
 def d_farm_parcels(t: Tables):
     x, y = (c("o_orderkey") % 61).cast("double") / 2, (c("o_custkey") % 41).cast("double") / 2
     side = F.lit(0.2)
-    raw = t.orders.select(
+    raw = t.wide("orders", "o_orderkey", "o_custkey", "o_orderpriority").select(
         txt("o_orderkey").alias("id_parcel"), c("o_orderpriority").alias("code_cultu"), F.lit(4326).alias("srid"),
         F.array(F.array(quad(x, y, side, side))).alias("geom"),
     )
@@ -277,7 +277,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS id, CASE WHEN p_type IN ('SMALL', 'LARGE')
 def d_soil(t: Tables):
     x, two = c("p_size").cast("double"), F.lit(2.0)
     r = F.when(c("p_brand") == "Brand#1", quad(x, x, two, two, bow=True)).otherwise(quad(x, x, two, two))
-    base = t.part.select("p_partkey", "p_size", "p_type", F.array(F.array(r)).alias("geom"))
+    base = t.wide("part", "p_partkey", "p_brand", "p_type", "p_size").select("p_partkey", "p_size", "p_type", F.array(F.array(r)).alias("geom"))
     w = land.soil_water(base.filter("p_type in ('SMALL', 'LARGE')").select(c("p_partkey").alias("reserve_id"), txt(c("p_size") % 10).alias("classe"), "geom"))
     d = land.soil_depths(base.filter("p_type not in ('SMALL', 'LARGE')").select(c("p_partkey").alias("prof_id"), txt("p_size").alias("pr_cl"), "geom"))
     w = w.select(
@@ -639,7 +639,7 @@ def catalogue(t: Tables):
         F.lit('">x</ref></phrases-risque></classement-CLP><classement-DSD><phrases-risque><ref lib-court="R36">y</ref><ref lib-court="Xi">z</ref></phrases-risque></classement-DSD><usages>'),
         usage, F.lit("</usages></PPP>"),
     )
-    records = t.part.select(body.alias("body"), F.lit("PPP").alias("record_tag"))
+    records = t.wide("part", "p_partkey", "p_brand", "p_type", "p_size", "p_name").select(body.alias("body"), F.lit("PPP").alias("record_tag"))
     return parse_xml(records, "body", protection.CATALOGUE_SCHEMA)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agrimill.session import configure
+from agrimill.session import configure, widen
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def wide(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a table for costly per-row work: spread over the cores when the file is one split."""
+        return widen(getattr(self, name).select(*columns))
+
 
 def query(sql: str | None = None):
     """Register ``f(tables) -> DataFrame`` under its own name."""

@@ -53,7 +53,7 @@ SELECT doc_id, md5({SNAKE_SQL.format("strip_accents(replace(text, 'ß', ' '))")}
 """)
 def q_header_norm(t: Tables):
     """Column-name rule over whole document texts."""
-    return t.documents.select("doc_id", F.md5(text.snake(F.col("text"))).alias("named"))
+    return t.wide("documents", "doc_id", "text").select("doc_id", F.md5(text.snake(F.col("text"))).alias("named"))
 
 
 @query("""
@@ -85,7 +85,7 @@ SELECT doc_id, md5(translate(text, chr(10) || '";', ' ''.')) AS flat, md5(regexp
 def q_text_documents(t: Tables):
     """Clean-up functions over whole document texts."""
     c = F.col("text")
-    return t.documents.select(
+    return t.wide("documents", "doc_id", "text").select(
         "doc_id", F.md5(text.flatten_sentence(c)).alias("flat"), F.md5(text.elide_articles(c)).alias("elided"),
         F.md5(text.drop_chars(c, ",.;")).alias("bare"), F.length(F.replace(c, F.lit(" "), F.lit(""))).alias("n_dense"),
     )
@@ -298,7 +298,7 @@ SELECT l_partkey, CAST(sum(CAST(CASE WHEN w >= 1000 THEN w // 1000 ELSE p END AS
 """)
 def q_price_string(t: Tables):
     shown = F.concat(F.lit("€"), F.format_number("l_extendedprice", 2))
-    r = t.lineitem.select("l_partkey", shown.alias("price"))
+    r = t.wide("lineitem", "l_partkey", "l_extendedprice").select("l_partkey", shown.alias("price"))
     plain = numbers.leading_price(F.col("price")).cast("decimal(14,2)")
     parsed = numbers.leading_price(F.col("price"), thousands=True).cast("decimal(14,2)")
     return r.groupBy("l_partkey").agg(F.sum(plain).cast("double").alias("plain"), F.sum(parsed).cast("double").alias("parsed"))

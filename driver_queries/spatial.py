@@ -111,7 +111,7 @@ def q_centroid(t: Tables):
         F.array(quad(x, y, F.lit(4.0), F.lit(3.0)), quad(x, y, F.lit(1.0), F.lit(1.0))),
         F.array(quad(x + 10, y, F.lit(2.0), F.lit(2.0))),
     )
-    g = t.orders.select("o_orderkey", shape.alias("shape"))
+    g = t.wide("orders", "o_orderkey", "o_totalprice").select("o_orderkey", shape.alias("shape"))
     g = g.withColumn("whole", geo.centroid_multipolygon(F.col("shape")))
     parts = ops.dump(g, "shape").withColumn("shape", geo.multi(F.col("shape")))
     parts = parts.withColumn("c", geo.centroid_multipolygon(F.col("shape")))
@@ -130,7 +130,7 @@ FROM pts JOIN quads q ON pts.x BETWEEN q.x AND q.x + q.w AND pts.y BETWEEN q.y A
 
 
 def pip_inputs(t: Tables):
-    pts = t.orders.select(
+    pts = t.wide("orders", "o_orderkey", "o_custkey").select(
         "o_orderkey", geo.point((F.col("o_orderkey") % 97).cast("double") / 4, (F.col("o_custkey") % 89).cast("double") / 4).alias("centroid")
     )
     x, y = (F.col("p_partkey") % 20).cast("double"), (F.floor(F.col("p_partkey") / 20) % 20).cast("double")
@@ -161,7 +161,7 @@ def q_validity(t: Tables):
     x, y = (F.col("o_orderkey") % 360).cast("double"), F.lit(1.0)
     w = F.when((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") <= 100000), 0.0).otherwise(2.0)
     ring = F.when(F.col("o_orderstatus") == "O", quad(x, y, w, w, bow=True)).otherwise(quad(x, y, w, w))
-    g = t.orders.select("o_orderkey", F.array(F.array(ring)).alias("shape"))
+    g = t.wide("orders", "o_orderkey", "o_orderstatus", "o_totalprice").select("o_orderkey", F.array(F.array(ring)).alias("shape"))
     good, bad = ops.split_valid(g, "shape")
     return good.select("o_orderkey", F.lit(True).alias("valid")).unionByName(bad.select("o_orderkey", F.lit(False).alias("valid")))
 
@@ -232,5 +232,5 @@ def q_features(t: Tables):
     body = F.concat(F.lit('{"type":"Feature","geometry":'), geom, F.lit(',"properties":'), props, F.lit("}"))
     from agrimill.sources.documents import parse_features
 
-    out = ops.with_centroid(parse_features(t.part.select(body.alias("body")), "body"), "shape")
+    out = ops.with_centroid(parse_features(t.wide("part", "p_partkey", "p_size", "p_type").select(body.alias("body")), "body"), "shape")
     return out.select("id", "section", "contenance", F.col("centroid.x").alias("cx"), F.col("centroid.y").alias("cy"))
