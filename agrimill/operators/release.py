@@ -182,13 +182,17 @@ def json_array_lines(df: DataFrame, order_by: str) -> DataFrame:
     Each row becomes its own line with ``[``, ``,`` and ``]`` around it, so no
     task ever holds the whole document. ``order_by`` must be unique.
     """
-    ends = df.agg(F.min(order_by).alias("_low"), F.max(order_by).alias("_high"))
     doc = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    head = F.when(F.col(order_by) == F.col("_low"), "[").otherwise(",")
-    tail = F.when(F.col(order_by) == F.col("_high"), "]").otherwise("")
-    # The other side is a single row of two values.
-    joined = df.join(F.broadcast(ends), F.col(order_by) >= F.col("_low"), "inner")
-    return joined.select(F.col(order_by), F.concat(head, doc, tail).alias("line"))
+    # The two ends are one row each, matched by key.
+    low = df.agg(F.min(order_by).alias(order_by)).withColumn("_first", F.lit(True))
+    high = df.agg(F.max(order_by).alias(order_by)).withColumn("_last", F.lit(True))
+    marked = (
+        df.select(F.col(order_by), doc.alias("_doc"))
+        .join(F.broadcast(low), order_by, "left").join(F.broadcast(high), order_by, "left")
+    )
+    head = F.when(F.col("_first"), "[").otherwise(",")
+    tail = F.when(F.col("_last"), "]").otherwise("")
+    return marked.select(F.col(order_by), F.concat(head, "_doc", tail).alias("line"))
 
 
 def export_json_array(df: DataFrame, path: str, order_by: str) -> None:

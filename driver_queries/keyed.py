@@ -161,7 +161,7 @@ def q_newest(t: Tables):
 
 @query("""
 SELECT shard, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS total,
-       sum(CASE WHEN o_orderstatus = 'F' AND year(o_orderdate) < 1996 THEN 1 ELSE 0 END) AS finished
+       CAST(sum(CASE WHEN o_orderstatus = 'F' AND year(o_orderdate) < 1996 THEN 1 ELSE 0 END) AS BIGINT) AS finished
 FROM (SELECT *, CASE WHEN year(o_orderdate) < 1996 THEN 'early' ELSE 'late' END AS shard FROM orders) GROUP BY shard
 """)
 def q_shards(t: Tables):

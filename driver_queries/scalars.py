@@ -274,20 +274,28 @@ def q_text_clean(t: Tables):
 
 
 @query("""
-WITH g AS (SELECT o_custkey, max(o_orderdate) AS last, list(o_orderkey ORDER BY o_orderkey) AS keys,
-                  list(strftime(o_orderdate, '%d/%m/%Y') ORDER BY o_orderkey) AS days FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey)
-SELECT o_custkey, CAST(CAST(last AS DATE) AS VARCHAR) AS stopped_on, array_to_string(days, ' | ') AS restricted,
-       'first' || CASE WHEN len(days) > 1 THEN ' | ' || array_to_string(days[2:], ' | ') ELSE '' END AS replaced FROM g
+WITH d AS (SELECT o_orderkey, o_orderdate AS a, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + INTERVAL 40 DAY END AS b,
+           CASE WHEN o_orderstatus = 'F' THEN o_orderdate - INTERVAL 9 DAY END AS c FROM orders)
+SELECT o_orderkey, CAST(CAST(coalesce(b, a) AS DATE) AS VARCHAR) AS stopped_on,
+  concat_ws(' | ', strftime(a, '%d/%m/%Y'), strftime(b, '%d/%m/%Y'), strftime(c, '%d/%m/%Y')) AS restricted,
+  concat_ws(' | ', 'first', strftime(b, '%d/%m/%Y'), strftime(c, '%d/%m/%Y')) AS replaced,
+  CASE WHEN b IS NOT NULL THEN strftime(b, '%d/%m/%Y') END AS late FROM d
 """)
 def q_dates_nested(t: Tables):
-    o = t.orders.filter("o_orderstatus <> 'P'").select(
-        "o_custkey", F.struct("o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy").alias("day")).alias("usage")
-    )
-    nested = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("usage")).alias("usages"))
-    days = labels.null_if_empty(F.transform("usages", lambda u: u["day"]))
+    """Nested usages of a row: latest date, first element replaced, joined text, NULL for an empty list."""
+    day = F.col("o_orderdate").cast("date")
+
+    def usage(d):
+        return F.struct(F.date_format(d, "dd/MM/yyyy").alias("day"))
+
+    later = F.when(F.col("o_orderstatus") != "P", F.date_add(day, 40))
+    earlier = F.when(F.col("o_orderstatus") == "F", F.date_sub(day, 9))
+    nested = t.orders.select("o_orderkey", F.array(usage(day), usage(later), usage(earlier)).alias("usages"))
+    days = F.filter(F.transform("usages", lambda u: u["day"]), lambda d: d.isNotNull())
+    late = labels.null_if_empty(F.filter(F.array(F.get("usages", 1)["day"]), lambda d: d.isNotNull()))
     return nested.select(
-        "o_custkey", dates.latest_day(days).cast("string").alias("stopped_on"), labels.piped(days).alias("restricted"),
-        F.array_join(labels.replace_first(days, F.lit("first")), " | ").alias("replaced"),
+        "o_orderkey", dates.latest_day(days).cast("string").alias("stopped_on"), labels.piped(days).alias("restricted"),
+        F.array_join(labels.replace_first(days, F.lit("first")), " | ").alias("replaced"), labels.piped(late).alias("late"),
     )
 
 
@@ -333,7 +341,7 @@ def q_parse_lines(t: Tables):
     return out.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "nom", "lieu", "vide")
 
 
-@query("SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS nom, NULL AS vide, CAST(s_nationkey AS VARCHAR) AS pays FROM supplier")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS nom, CAST(NULL AS VARCHAR) AS vide, CAST(s_nationkey AS VARCHAR) AS pays FROM supplier")
 def q_positional(t: Tables):
     line = F.concat(
         F.lit('"'), F.col("s_suppkey").cast("string"), F.lit('";"'), "s_name", F.lit('";"";'), F.col("s_nationkey").cast("string")
