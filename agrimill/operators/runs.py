@@ -20,18 +20,14 @@ def run_heads(
     tagged = df.withColumn("_foot", footprint).withColumn("_chunk", F.floor(F.col(row) / chunk))
     ends = tagged.groupBy(*keys, "_chunk").agg(F.max_by(F.struct("_foot"), F.col(row)).alias("_end"))
     carried = ends.select(
-        *keys, "_chunk", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carried")
+        *keys, "_chunk", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_seen"), F.lit(0).alias("_real")
     )
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(row)
-    looked = tagged.withColumn("_prev", F.lag(F.struct("_foot")).over(inside))
-    same_group = [F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in [*keys, "_chunk"]]
-    cond = same_group[0]
-    for c in same_group[1:]:
-        cond = cond & c
-    joined = looked.alias("l").join(carried.alias("c"), cond, "left").select("l.*", "c._carried")
-    prev = F.coalesce(F.col("_prev"), F.col("_carried"))
-    head = prev.isNull() | ~prev["_foot"].eqNullSafe(F.col("_foot"))
-    return joined.filter(head).drop("_foot", "_chunk", "_prev", "_carried")
+    # The carried line goes in front of its chunk as a row of its own, so no join is needed.
+    lines = tagged.withColumns({"_seen": F.struct("_foot"), "_real": F.lit(1)}).unionByName(carried, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", row)
+    looked = lines.withColumn("_prev", F.lag("_seen").over(inside))
+    head = F.col("_prev").isNull() | ~F.col("_prev._foot").eqNullSafe(F.col("_foot"))
+    return looked.filter((F.col("_real") == 1) & head).select(*df.columns)
 
 
 def sheet_rows(cells: DataFrame, columns: Sequence[str], group: Sequence[str] = ("sheet",)) -> DataFrame:

@@ -696,3 +696,90 @@ UNION ALL SELECT p_partkey, 'R36', 'y' FROM part WHERE p_brand <> 'Brand#1'
 """)
 def d_protection_risks(t: Tables):
     return protection.risks(catalogue(t)).select(c("product_id").cast("bigint").alias("product_id"), "risk_code", "risk_phrase")
+
+
+def book(t: Tables, head, line):
+    """Conversations as workbooks: the first turn is row 2, the others follow from row 4 on."""
+    row = F.when(c("turn") == 0, 2).otherwise(c("turn") + 3)
+    cells = F.explode(F.when(c("turn") == 0, head).otherwise(line)).alias("x")
+    return t.conversations.select(txt("conv_id").alias("sheet"), row.alias("row"), cells).select("sheet", "row", "x.*")
+
+
+def cell(col, value):
+    return F.struct(F.lit(col).alias("col"), value.cast("string").alias("value"))
+
+
+@query("""
+SELECT CAST(c.conv_id AS VARCHAR) AS technical_sequence_id, c.turn AS year_start, c.turn + 1 AS year_stop, 'plant_' || h.role || '_' || c.role AS technical_workflow_id
+FROM conversations c JOIN conversations h ON h.conv_id = c.conv_id AND h.turn = 0 WHERE c.turn >= 1 AND c.role <> 'assistant'
+""")
+def d_sequence_steps(t: Tables):
+    head = F.array(cell("A", F.lit("plant")), cell("B", c("role")))
+    line = F.array(cell("A", F.when(c("role") != "assistant", c("turn"))), cell("B", c("turn") + 1), cell("C", c("role")))
+    s = workflows.sequence_steps(book(t, head, line))
+    return s.select(
+        "technical_sequence_id", c("year_start").cast("bigint").alias("year_start"), c("year_stop").cast("bigint").alias("year_stop"), "technical_workflow_id"
+    )
+
+
+@query("""
+WITH l AS (SELECT conv_id, turn, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations)
+SELECT 'model' AS kind, replace(role || ',' || conv_id, ',', '_') AS reference_name, 1.5e0 AS amount FROM l WHERE prev IS NULL OR prev <> role
+UNION ALL SELECT 'item', replace(role || ',' || conv_id, ',', '_') || '_tool_' || turn, CASE WHEN role = 'user' THEN turn + 0.5e0 ELSE 0e0 END FROM l
+""")
+def d_intervention_models(t: Tables):
+    line = F.array(
+        cell("A", c("turn")), cell("B", F.lit("n")), cell("C", F.lit("p")), cell("D", F.concat("role", F.lit(","), txt("conv_id"))), cell("E", F.lit("tool")),
+        cell("F", c("turn")), cell("H", F.when(c("role") == "user", F.concat(txt("turn"), F.lit(".5")))), cell("J", F.lit("1.5")),
+    )
+    cells = t.conversations.select(txt("conv_id").alias("sheet"), (c("turn") + 2).alias("row"), F.explode(line).alias("x")).select("sheet", "row", "x.*")
+    m = workflows.models(cells).select(F.lit("model").alias("kind"), "reference_name", c("working_flow").cast("double").alias("amount"))
+    i = workflows.model_items(cells).select(F.lit("item").alias("kind"), "reference_name", c("indicator_value").cast("double").alias("amount"))
+    return m.unionByName(i)
+
+
+@query("""
+SELECT c_custkey AS reference_id, c_name AS reference_label, c_mktsegment AS value, 'code' AS kind FROM customer
+UNION ALL SELECT NULL, p_name, CAST(p_partkey AS VARCHAR), 'crop' FROM part
+""")
+def d_exchange_codes(t: Tables):
+    codes = registers.edi_codes(t.customer.select(
+        F.lit("1").alias("repository_id"), txt("c_custkey").alias("reference_id"), F.lit("c").alias("reference_code"), c("c_name").alias("reference_label"),
+        F.lit("s").alias("scope"), c("c_mktsegment").alias("value"),
+    ))
+    crops = registers.edi_crops(t.part.select(txt("p_partkey").alias("agroedi_code"), c("p_name").alias("agroedi_name"), c("p_type").alias("production")))
+    codes = codes.select(c("reference_id").cast("bigint").alias("reference_id"), "reference_label", "value", F.lit("code").alias("kind"))
+    return codes.unionByName(crops.select(
+        F.lit(None).cast("bigint").alias("reference_id"), c("agroedi_name").alias("reference_label"), c("agroedi_code").alias("value"), F.lit("crop").alias("kind")
+    ))
+
+
+@query("""
+SELECT 'parts_' || p_partkey AS id, upper(p_name) AS fra, p_name AS eng FROM part
+UNION ALL SELECT 'nations_' || n_nationkey, n_name, n_name FROM nation
+""")
+def d_translations(t: Tables):
+    """Shared translations: the parts scope is rebuilt, the nations scope stays."""
+    from agrimill.operators.keyed import translations
+
+    def labelled(df, key, fra, eng):
+        return df.select(txt(key).alias("reference_name"), fra.alias("fra"), eng.alias("eng"))
+
+    nations = translations(labelled(t.nation, "n_nationkey", c("n_name"), c("n_name")), "nations")
+    old = translations(labelled(t.part, "p_partkey", c("p_name"), c("p_name")), "parts")
+    table = registers.translations(None, {"nations": nations}).unionByName(registers.translations(None, {"parts": old}))
+    new = translations(labelled(t.part, "p_partkey", F.upper("p_name"), c("p_name")), "parts")
+    return registers.translations(table, {"parts": new}).select("id", "fra", "eng")
+
+
+@query("""
+SELECT 'crop' || p_partkey AS code, p_type = 'SMALL' AS is_seed, 2017 + p_size % 9 AS year, p_brand AS category FROM part
+""")
+def d_subsidy_codes(t: Tables):
+    raw = t.part.select(
+        F.concat(F.lit("crop"), txt("p_partkey")).alias("cap_code"), c("p_name").alias("cap_label"), c("p_type").alias("production"),
+        F.lit(None).cast("string").alias("cap_precision"), c("p_brand").alias("cap_category"), F.when(c("p_type") == "SMALL", "1").alias("is_seed"),
+        txt(F.lit(2017) + c("p_size") % 9).alias("year"),
+    )
+    s = productions.subsidy_codes(raw)
+    return s.select(c("cap_code").alias("code"), "is_seed", c("year").cast("bigint").alias("year"), c("cap_category").alias("category"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from agrimill.functions import geometry as geo
 from agrimill.functions.numbers import md5_prefix_int
 from agrimill.operators import quality, release
+from agrimill.session import shared_dir
 from agrimill.specs import TableSpec
 from driver_queries.registry import Tables, query
 
@@ -163,3 +166,32 @@ def q_provenance(t: Tables):
     fresh = old.filter(F.col("datasource").isin("src1", "src2")).withColumn("provider", F.lit("new"))
     credits = release.replace_credits(old, fresh)
     return release.with_provenance(t.documents.select("doc_id", "source"), credits).select("doc_id", "source", "licence", "provider")
+
+
+@query("""
+WITH p AS (SELECT c_custkey, c_name, CAST(c_custkey % 360 - 180 AS DOUBLE) AS x, c_acctbal / 200 AS y FROM customer)
+SELECT 'customer' AS table_name, c_custkey AS id, c_name AS name, round(x, 6) AS x FROM p WHERE (x + 0.5) * (x + 0.5) + (y - 25) * (y - 25) <= 400 OR (x - 90) * (x - 90) + (y - 10) * (y - 10) <= 25
+UNION ALL SELECT 'orders', o_orderkey, o_orderpriority, NULL FROM orders WHERE o_orderpriority LIKE '1%' OR o_orderstatus IN ('F') AND o_custkey % 10 IN (3, 7)
+""")
+def q_release_reload(t: Tables):
+    """Release written to the shared folder, read back, and checked against its manifest."""
+    specs = [ORDERS, CUSTOMER, NATION]
+    base = release.write_release(tables(t), specs, FLAVOR, "1.0.0", f"{shared_dir(t.spark)}/releases-{uuid.uuid4().hex}")
+    back = release.load_release(t.spark, base)
+    customer = back["customer"].select(
+        F.lit("customer").alias("table_name"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.round("centroid.x", 6).alias("x")
+    )
+    orders = back["orders"].select(
+        F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.lit(None).cast("double").alias("x")
+    )
+    return customer.unionByName(orders)
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT 99, 'NEW', NULL")
+def q_publish_current(t: Tables):
+    """A good copy is published, then a bad one is set aside: the good one stays current."""
+    root = f"{shared_dir(t.spark)}/published-{uuid.uuid4().hex}"
+    extra = t.spark.createDataFrame([(99, "NEW")], "n_nationkey int, n_name string")
+    release.publish(t.spark, {"nation": NATION.align(t.nation.unionByName(extra, allowMissingColumns=True))}, [NATION], root)
+    release.publish(t.spark, {"nation": NATION.align(t.nation.union(t.nation))}, [NATION], root)
+    return release.current(t.spark, NATION, root)

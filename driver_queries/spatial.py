@@ -234,3 +234,22 @@ def q_features(t: Tables):
 
     out = ops.with_centroid(parse_features(t.wide("part", "p_partkey", "p_size", "p_type").select(body.alias("body")), "body"), "shape")
     return out.select("id", "section", "contenance", F.col("centroid.x").alias("cx"), F.col("centroid.y").alias("cy"))
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_type = 'SMALL' THEN 2 ELSE 1 END AS n_parts, CAST(p_size AS DOUBLE) + CASE WHEN p_type = 'SMALL' THEN 3.5 ELSE 1.5 END AS cx, 2154 AS srid FROM part
+""")
+def q_ingest_geometry(t: Tables):
+    """Line geometry held as GeoJSON text, single lines wrapped as multi lines."""
+    from agrimill.sources.documents import ingest_geometry
+
+    x = F.col("p_size")
+
+    def line(start):
+        return F.to_json(F.array(F.array(x + start, F.lit(0)), F.array(x + start + 3, F.lit(0))))
+
+    many = F.concat(F.lit('{"type":"MultiLineString","coordinates":['), line(0), F.lit(","), line(4), F.lit("]}"))
+    one = F.concat(F.lit('{"type":"LineString","coordinates":'), line(0), F.lit("}"))
+    raw = t.part.select("p_partkey", F.when(F.col("p_type") == "SMALL", many).otherwise(one).alias("geom"))
+    g = ingest_geometry(raw, "geom", 2, 2154)
+    return g.select("p_partkey", F.size("geom").alias("n_parts"), geo.centroid_multiline(F.col("geom"))["x"].alias("cx"), "srid")
