@@ -40,8 +40,13 @@ def item_centroid(
     return df.withColumn(name, value).filter(F.col(name).isNotNull())
 
 
+def flag_valid(df: DataFrame, shape: str, name: str = "valid", depth: int = 3) -> DataFrame:
+    """Adds the validity of a shape as a column: one pass where both kinds are wanted."""
+    return df.withColumn(name, geo.polygon_is_valid(F.col(shape), depth))
+
+
 def split_valid(df: DataFrame, shape: str, depth: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows)."""
+    """(valid rows, quarantined rows); each is a plan of its own over the same input."""
     ok = geo.polygon_is_valid(F.col(shape), depth)
     return df.filter(ok), df.filter(~ok)
 
@@ -95,7 +100,13 @@ def point_in_polygon_join(
     listed, or to several cells of the largest one, so the result is the same.
     """
     all_levels = list(range(_levels(cell))) if levels is None else sorted(levels)
-    box = geo.bbox(F.col(shape), depth)
+    # NaN instead of NULL: nothing compares with it, and the join infers no null
+    # filters that would compute costly geometry a second time further down.
+    nan = F.lit(float("nan"))
+    bounds = ("minx", "miny", "maxx", "maxy")
+    box = F.transform(
+        F.array(geo.bbox(F.col(shape), depth)), lambda b: F.struct(*[F.coalesce(b[n], nan).alias(n) for n in bounds])
+    )[0]
     extent = F.greatest(F.col("_box.maxx") - F.col("_box.minx"), F.col("_box.maxy") - F.col("_box.miny"))
     level = F.greatest(
         F.lit(0), F.ceil(F.log(F.greatest(extent, F.lit(1e-12)) / cell) / F.log(F.lit(LEVEL_FACTOR)) - 1e-9)
@@ -108,7 +119,6 @@ def point_in_polygon_join(
 
     filed = (
         polygons.withColumn("_box", box)
-        .filter(F.col("_box.minx").isNotNull())
         .withColumn("_level", level.cast("int"))
         .withColumn("_edges", geo.edges(F.col(shape), depth))
         .withColumn("_cx", F.explode(span("_box.minx", "_box.maxx")))
@@ -116,7 +126,7 @@ def point_in_polygon_join(
         .withColumn("_cell", F.struct(F.col("_level").alias("level"), F.col("_cx").alias("cx"), F.col("_cy").alias("cy")))
         .drop("_level", "_cx", "_cy")
     )
-    px, py = F.col(f"{point}.x"), F.col(f"{point}.y")
+    px, py = F.coalesce(F.col(f"{point}.x"), nan), F.coalesce(F.col(f"{point}.y"), nan)
     looked_up = points.withColumn("_px", px).withColumn("_py", py)
     exploded = looked_up.withColumn(
         "_cell",

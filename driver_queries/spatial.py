@@ -162,8 +162,23 @@ def q_validity(t: Tables):
     w = F.when((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") <= 100000), 0.0).otherwise(2.0)
     ring = F.when(F.col("o_orderstatus") == "O", quad(x, y, w, w, bow=True)).otherwise(quad(x, y, w, w))
     g = t.wide("orders", "o_orderkey", "o_orderstatus", "o_totalprice").select("o_orderkey", F.array(F.array(ring)).alias("shape"))
-    good, bad = ops.split_valid(g, "shape")
-    return good.select("o_orderkey", F.lit(True).alias("valid")).unionByName(bad.select("o_orderkey", F.lit(False).alias("valid")))
+    return ops.flag_valid(g, "shape").select("o_orderkey", "valid")
+
+
+@query("""
+SELECT 'valid' AS kind, count(*) AS n, min(p_partkey) AS first_id FROM part WHERE p_size % 3 <> 0
+UNION ALL SELECT 'quarantined', count(*), min(p_partkey) FROM part WHERE p_size % 3 = 0
+""")
+def q_quarantine(t: Tables):
+    """Rows with an invalid shape set aside from the rest."""
+    x, y, w = (F.col("p_partkey") % 50).cast("double"), F.col("p_size").cast("double"), F.lit(2.0)
+    ring = F.when(F.col("p_size") % 3 == 0, quad(x, y, w, w, bow=True)).otherwise(quad(x, y, w, w))
+    good, bad = ops.split_valid(t.part.select("p_partkey", F.array(F.array(ring)).alias("shape")), "shape")
+
+    def counted(df, kind):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("first_id")).withColumn("kind", F.lit(kind))
+
+    return counted(good, "valid").unionByName(counted(bad, "quarantined"))
 
 
 @query("""

@@ -153,6 +153,12 @@ def test_join_is_an_equi_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_join_skips_missing_geometry(spark):
+    pdf = spark.createDataFrame([(1, (0.5, 0.5)), (2, None), (3, (None, 1.0))], f"pid int, p {POINT}")
+    gdf = spark.createDataFrame([(1, [[ring(0, 0, 1, 1)]]), (2, None), (3, []), (4, [[]])], f"gid int, g {MULTIPOLYGON}")
+    assert rows(ops.point_in_polygon_join(pdf, gdf, "p", "g"), "pid", "gid") == [(1, 1)]
+
+
 def test_dump_and_force2d(spark):
     df = spark.createDataFrame([(1, [[(0.0, 1.0, 9.0)], [(2.0, 3.0, 9.0)]])], "id int, g array<array<struct<x:double,y:double,z:double>>>")
     flat = df.select("id", geo.force2d(F.col("g"), 2).alias("g"))
