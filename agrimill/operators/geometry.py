@@ -16,8 +16,13 @@ GLOBE_DEGREES = 360.0
 
 
 def dump(df: DataFrame, col: str, part: str = "part") -> DataFrame:
-    """One row per part of a multi geometry, with the part index kept."""
-    return df.select(*[c for c in df.columns if c != col], F.posexplode(col).alias(part, col))
+    """One row per part of a multi geometry, with the part index kept.
+
+    The outer form plus a test on its result: the inner form would make the
+    optimizer compute the geometry once more, only to test its size.
+    """
+    parts = df.select(*[c for c in df.columns if c != col], F.posexplode_outer(col).alias(part, col))
+    return parts.filter(F.col(part).isNotNull())
 
 
 def with_centroid(df: DataFrame, shape: str, name: str = "centroid", only_valid: bool = True) -> DataFrame:
@@ -121,8 +126,8 @@ def point_in_polygon_join(
         polygons.withColumn("_box", box)
         .withColumn("_level", level.cast("int"))
         .withColumn("_edges", geo.edges(F.col(shape), depth))
-        .withColumn("_cx", F.explode(span("_box.minx", "_box.maxx")))
-        .withColumn("_cy", F.explode(span("_box.miny", "_box.maxy")))
+        .withColumn("_cx", F.explode_outer(span("_box.minx", "_box.maxx")))
+        .withColumn("_cy", F.explode_outer(span("_box.miny", "_box.maxy")))
         .withColumn("_cell", F.struct(F.col("_level").alias("level"), F.col("_cx").alias("cx"), F.col("_cy").alias("cy")))
         .drop("_level", "_cx", "_cy")
     )

@@ -135,8 +135,8 @@ def products(catalogue: DataFrame) -> DataFrame:
 def risks(catalogue: DataFrame) -> DataFrame:
     """Hazard phrases per product, first phrase of a code."""
     rows = _known(catalogue).select(
-        F.col("_maaid").cast("int").alias("product_id"), "_rank", F.posexplode(_risk_refs()).alias("_pos", "_ref")
-    ).select(
+        F.col("_maaid").cast("int").alias("product_id"), "_rank", F.posexplode_outer(_risk_refs()).alias("_pos", "_ref")
+    ).filter(F.col("_ref").isNotNull()).select(
         "product_id", F.col("_ref._lib-court").alias("risk_code"), F.col("_ref._VALUE").alias("risk_phrase"), "_rank", "_pos"
     )
     one = keyed.first_wins(rows, ["product_id", "risk_code"], ["_rank", "_pos"])
@@ -145,7 +145,9 @@ def risks(catalogue: DataFrame) -> DataFrame:
 
 def usages(catalogue: DataFrame) -> DataFrame:
     """One row per authorised usage; non-farming crops are left out."""
-    u = _known(catalogue).select(F.col("_maaid").cast("int").alias("product_id"), F.explode("usages.usage").alias("u"))
+    # Outer explode and a test after it: the inner form would parse a catalogue held as text twice.
+    every = _known(catalogue).select(F.col("_maaid").cast("int").alias("product_id"), F.explode_outer("usages.usage").alias("u"))
+    u = every.filter(F.col("u").isNotNull())
 
     def col(name: str) -> Column:
         return F.col(f"u.`{name}`")

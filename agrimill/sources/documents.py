@@ -74,9 +74,9 @@ MARKET_PAYLOAD = (
 def parse_market_payload(df: DataFrame, col: str, code: str) -> DataFrame:
     """JSON text column holding an array of price objects, one row per object."""
     schema = f"array<struct<{_fields(MARKET_PAYLOAD)}>>"
-    return df.select(F.col(code).alias("product_code"), F.explode(F.from_json(F.col(col), schema)).alias("p")).select(
-        "product_code", "p.*"
-    )
+    # Outer explode and a test after it: the inner form would parse the text twice.
+    items = df.select(F.col(code).alias("product_code"), F.explode_outer(F.from_json(F.col(col), schema)).alias("p"))
+    return items.filter(F.col("p").isNotNull()).select("product_code", "p.*")
 
 
 def read_market_payload(spark: SparkSession, path: str, code_pattern: str = r"([A-Z]+)\.json") -> DataFrame:
