@@ -111,13 +111,14 @@ def decode(col: Column, table: Mapping, default: object = None) -> Column:
 
 
 def decode_strict(col: Column, table: Mapping, what: str) -> Column:
-    """Value of a code; an unknown or missing code fails the job with a clear message."""
-    return F.coalesce(
-        F.try_element_at(_literal_map(table), col),
-        F.raise_error(F.concat(F.lit(f"unknown {what}: "), F.coalesce(col.cast("string"), F.lit("NULL")))).cast(
-            "int" if all(isinstance(v, int) for v in table.values()) else "string"
-        ),
-    )
+    """Value of a code; an unknown code fails the job with a clear message.
+
+    A missing code gives NULL, which the NOT NULL check of the table reports:
+    raising on NULL would also hit rows a filter is about to drop.
+    """
+    kind = "int" if all(isinstance(v, int) for v in table.values()) else "string"
+    unknown = F.raise_error(F.concat(F.lit(f"unknown {what}: "), col.cast("string"))).cast(kind)
+    return F.when(col.isNotNull(), F.coalesce(F.try_element_at(_literal_map(table), col), unknown))
 
 
 def flag_is_one(col: Column) -> Column:

@@ -144,6 +144,7 @@ def test_replace_first(spark):
 
 def test_strict_decode_fails_on_unknown(spark):
     assert s(spark, lambda c: lookups.decode_strict(c, lookups.USAGE_STATES, "state"), "Retrait") == "withdrawn"
+    assert s(spark, lambda c: lookups.decode_strict(c, lookups.USAGE_STATES, "state"), None) is None
     with pytest.raises(Exception, match="unknown state: Autre"):
         s(spark, lambda c: lookups.decode_strict(c, lookups.USAGE_STATES, "state"), "Autre")
 
