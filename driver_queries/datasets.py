@@ -379,13 +379,13 @@ WITH z AS (SELECT n_name AS department, r_name AS region FROM nation JOIN region
 li AS (SELECT 'farmer_price' AS nature, r_name AS zone, year(o_orderdate) AS y, month(o_orderdate) AS m, o_totalprice AS p
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT z.department AS department_zone, CAST(make_date(y, m, 1) AS VARCHAR) AS started_on, count(*) AS n,
-  CAST(sum(CAST(CAST(p / 1000 AS DECIMAL(14,2)) AS DECIMAL(8,2))) AS DOUBLE) AS total FROM li JOIN z ON upper(li.zone) = z.region GROUP BY ALL
+  CAST(sum(CAST(CAST(p AS DECIMAL(14,2)) AS DECIMAL(8,2))) AS DOUBLE) AS total FROM li JOIN z ON upper(li.zone) = z.region GROUP BY ALL
 """)
 def d_production_prices(t: Tables):
     regions = t.nation.join(t.region, c("n_regionkey") == c("r_regionkey"))
     zones = regions.select(c("n_name").alias("department"), c("r_name").alias("region"))
     sold = t.orders.join(t.customer, c("o_custkey") == c("c_custkey")).join(regions, c("c_nationkey") == c("n_nationkey"))
-    price = F.replace(txt((c("o_totalprice") / 1000).cast("decimal(14,2)")), F.lit("."), F.lit(","))
+    price = F.replace(money("o_totalprice"), F.lit("."), F.lit(","))
     raw = sold.select(
         txt(F.year("o_orderdate")).alias("year"), txt(F.month("o_orderdate")).alias("month"), F.lower("r_name").alias("zone"),
         F.lit("Colza").alias("production_label"), F.lit("brassica").alias("specie"), F.lit("0").alias("waiting_price"), price.alias("final_price"),

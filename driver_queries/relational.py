@@ -171,7 +171,7 @@ def q_unpivot_segments(t: Tables):
 @query("""
 SELECT l_partkey, round(regr_slope(ln(l_extendedprice), ln(l_quantity)), 4) AS slope,
        round(regr_intercept(ln(l_extendedprice), ln(l_quantity)), 4) AS intercept,
-       round(exp(regr_intercept(ln(l_extendedprice), ln(l_quantity))) * pow(70, regr_slope(ln(l_extendedprice), ln(l_quantity))), 1) AS at_70,
+       round(round(exp(regr_intercept(ln(l_extendedprice), ln(l_quantity))) * pow(70, regr_slope(ln(l_extendedprice), ln(l_quantity))), 4), 1) AS at_70,
        round(sqrt(var_pop(l_quantity)), 4) AS dev_x,
        round(covar_pop(l_extendedprice, l_quantity) / var_pop(l_quantity), 4) AS linear_slope
 FROM lineitem GROUP BY l_partkey HAVING max(l_quantity) > min(l_quantity)
