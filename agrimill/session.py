@@ -49,11 +49,13 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and cut lineage.
 
-    A cluster names it in ``spark.checkpoint.dir``; only a session without that
-    setting (tests on one machine) gets a temporary folder of its own.
+    A cluster names it in ``spark.checkpoint.dir``. A session on one machine (``local`` master) without that setting gets
+    a temporary folder of its own; any other session without it is refused, as its executors do not share local disks.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="agrimill-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
