@@ -29,7 +29,7 @@ def fold(events: DataFrame) -> DataFrame:
     - `edit` replaces what the message holds;
     - `regenerate` empties the message, starts it with its own text, and withdraws all later messages written so far.
     Events apply in the order of seq, ties by kind and text. An event logged twice applies twice. A null text is empty; the
-    role is the last one that is not null, else empty; a message all of whose events are withdrawn is gone; another kind
+    role is the last one given, by a replaced event too, else empty; a message all of whose events are withdrawn is gone; another kind
     counts as `delta`. Events without a conv_id form one conversation. The log is shuffled once, by conversation.
     """
     kind = F.coalesce("kind", F.lit("delta"))
@@ -39,11 +39,13 @@ def fold(events: DataFrame) -> DataFrame:
     numbered = events.select("conv_id", F.col("message").cast("long").alias("message"), "seq", kind.alias("kind"), "role", F.coalesce("text", F.lit("")).alias("text"))
     numbered = numbered.withColumn("_at", F.row_number().over(own)).withColumn("_void", F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).over(before))
     numbered = numbered.withColumn("_from", F.max(F.when(reset, F.col("_at"))).over(W.partitionBy("conv_id", "message")))
-    live = numbered.where("(_from is null or _at >= _from) and (_void is null or seq > _void)")
+    standing = numbered.where("_void is null or seq > _void")
+    role = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("_at"))).over(W.partitionBy("conv_id", "message"))
+    live = standing.withColumn("_role", role).where("_from is null or _at >= _from")
     parts = F.sort_array(F.collect_list(F.struct("_at", "text")))
     return live.groupBy("conv_id", "message").agg(
         F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text"),
-        F.coalesce(F.max_by("role", F.when(F.col("role").isNotNull(), F.col("_at"))), F.lit("")).alias("role"),
+        F.coalesce(F.max("_role"), F.lit("")).alias("role"),
     )
 
 
