@@ -16,6 +16,8 @@ from agrimill.llm.common import stored
 SAMPLE, CENTROIDS, RECALL = 20_000, 64, 0.95
 # Vectors and queries that meet in one task at a time.
 VECTORS, QUERIES = 4096, 2048
+# Queries whose walk over the centroid pairs is one task.
+WALKS = 64
 
 
 def usable(vector: Column) -> Column:
@@ -139,7 +141,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
                 take = pa.array(rows_, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(lists, pa.int32()), pa.array(masks, pa.binary())], names=["id", "v", "i", "mask"])
 
-    queries = index.where("q").select("id", "v").repartition(F.col("id")).mapInArrow(walk, "id long, v array<double>, i int, mask binary")
+    queries = index.where("q").select("id", "v").repartition(max(1, math.ceil(asked / WALKS)), "id").mapInArrow(walk, "id long, v array<double>, i int, mask binary")
     n_blocks = F.get(F.array(*[F.lit(b) for b in blocks]), F.col("i"))
     q_side = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(q_blocks)).cast("int")).withColumn("vb", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     v_side = index.select("id", "v", "i", "j").withColumn("vb", F.pmod(F.xxhash64("id"), n_blocks).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
