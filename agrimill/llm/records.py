@@ -16,6 +16,8 @@ from agrimill.llm.common import shared_path, stored
 from agrimill.llm.tokens import default_path, encoder
 
 END_ID = 0
+# Bytes of ids that a reading task is given.
+READ_BYTES = 1 << 25
 # Fixed values of the frame: length, its checksum, payload, its checksum; checksums are rotated by 15 bits and shifted.
 LENGTH, CHECK, MASK_SHIFT = "<Q", "<I", 0xA282EAD8
 # A payload begins with the document's id, whether it has one, and the bytes of an id; then the ids follow.
@@ -102,7 +104,10 @@ def read_records(listed: DataFrame, chunk: int = 1024, seed: int | None = None,
     step = 1 if seed is not None else chunk
     runs = based.select("file", "index", "width", "base", "records", F.explode(F.sequence(F.lit(0), F.col("records") - 1, F.lit(step))).alias("first"))
     runs = runs.withColumn("n", F.least(F.lit(step), F.col("records") - F.col("first"))).drop("records")
-    runs = runs.repartition("file", "first")
+    # A fixed number of tasks by the bytes to read: the rows that name them are so few that they would be put in one task.
+    held = listed.agg(F.sum(F.col("tokens") * F.col("width")), F.sum("records")).first()
+    tasks = min(held[1] or 1, max(listed.sparkSession.sparkContext.defaultParallelism, (held[0] or 0) // READ_BYTES))
+    runs = runs.repartition(int(tasks), "file", "first")
     if seed is not None:
         runs = runs.sortWithinPartitions(F.xxhash64(F.lit(seed), "file", "first"))
 
