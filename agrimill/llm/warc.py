@@ -160,7 +160,8 @@ def read_warc(listed: DataFrame, payload: bool = True) -> DataFrame:
                 if rows:
                     yield _batch(rows, payload)
 
-    return listed.select("file").repartition("file").mapInArrow(read, schema)
+    # A task for each file; left to itself, Spark would put so few rows in one task.
+    return listed.select("file").repartition(max(1, listed.count())).mapInArrow(read, schema)
 
 
 def _batch(rows: list[tuple], payload: bool) -> pa.RecordBatch:
