@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from agrimill.functions import geometry as geo
 from agrimill.operators.joins import salted_join
+from agrimill.operators.keyed import first_wins
 
 # Cell sizes grow by this factor from one level to the next, up to the whole globe.
 LEVEL_FACTOR = 4.0
@@ -57,8 +58,12 @@ def split_valid(df: DataFrame, shape: str, depth: int = 3) -> tuple[DataFrame, D
 
 
 def attach_shape(df: DataFrame, shapes: DataFrame, code: str, shape_code: str, geom: str, srid: int) -> DataFrame:
-    """Commune shape and centroid onto rows by code; rows without a shape keep NULL."""
-    found = shapes.select(
+    """Commune shape and centroid onto rows by code; rows without a shape keep NULL.
+
+    Of several shapes of one code the one with the smallest hash is taken, so no row is doubled.
+    """
+    one = first_wins(shapes.select(shape_code, geom), [shape_code], [F.xxhash64(geom)])
+    found = one.select(
         F.col(shape_code).alias(code), geo.reproject(F.col(geom), 3, srid).alias("city_shape")
     ).withColumn("city_centroid", geo.centroid_multipolygon(F.col("city_shape")))
     return df.join(found, code, "left")

@@ -146,13 +146,13 @@ def lookup_first(df: DataFrame, lookup: DataFrame, on: str, value: str, order: S
 
 
 def keep_known(df: DataFrame, other: DataFrame, on: str, other_key: str) -> DataFrame:
-    """Rows whose key occurs on the other side (semi join)."""
-    return df.join(other.select(F.col(other_key).alias(on)), on, "left_semi")
+    """Rows whose key occurs on the other side (semi join); a hot key there is one row after the map-side distinct."""
+    return df.join(other.select(F.col(other_key).alias(on)).distinct(), on, "left_semi")
 
 
 def drop_known(df: DataFrame, other: DataFrame, on: str, other_key: str) -> DataFrame:
-    """Rows whose key does not occur on the other side (anti join)."""
-    return df.join(other.select(F.col(other_key).alias(on)), on, "left_anti")
+    """Rows whose key does not occur on the other side (anti join); distinct there as in ``keep_known``."""
+    return df.join(other.select(F.col(other_key).alias(on)).distinct(), on, "left_anti")
 
 
 def species_chain(

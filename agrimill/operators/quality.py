@@ -79,7 +79,10 @@ def verdict(results: DataFrame) -> DataFrame:
 def checks(
     spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[TableSpec]
 ) -> DataFrame:
-    """Every check on a table set: ``source``, ``table_name``, ``rule``, ``n``, ``ok``."""
+    """Every check on a table set: ``source``, ``table_name``, ``rule``, ``n``, ``ok``.
+
+    A reference to a table that is not given cannot hold: it is not ok, with ``n`` NULL.
+    """
     source_of = {s.name: s.source for s in specs}
     parts = []
     states = table_states(spark, {k: v for k, v in tables.items() if k in source_of}, list(source_of))
@@ -97,13 +100,16 @@ def checks(
                 v.select(F.lit(spec.source).alias("source"), F.lit(spec.name).alias("table_name"), "rule", "n", (F.col("n") == 0).alias("ok"))
             )
         for column, (target, target_column) in spec.fks.items():
-            if spec.name in tables and target in tables:
-                bad = orphans(tables[spec.name], column, tables[target], target_column)
-                n = bad.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+            if spec.name in tables:
+                if target in tables:
+                    bad = orphans(tables[spec.name], column, tables[target], target_column)
+                    n = bad.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+                else:
+                    n = spark.createDataFrame([(None,)], "n bigint")
                 parts.append(
                     n.select(
                         F.lit(spec.source).alias("source"), F.lit(spec.name).alias("table_name"),
-                        F.lit(f"reference:{column}->{target}").alias("rule"), "n", (F.col("n") == 0).alias("ok"),
+                        F.lit(f"reference:{column}->{target}").alias("rule"), "n", F.coalesce(F.col("n") == 0, F.lit(False)).alias("ok"),
                     )
                 )
     return reduce(DataFrame.unionByName, parts)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from agrimill.functions.geometry import within
 from agrimill.operators.aggregates import version_rank
+from agrimill.operators.keyed import first_wins
 from agrimill.operators.quality import checks
 from agrimill.specs import TableSpec
 
@@ -135,27 +136,50 @@ def append_into(df: DataFrame, spec: TableSpec, path: str) -> None:
     spec.align(df).write.mode("append").parquet(path)
 
 
+# What stands in a release's text for characters a line of it cannot hold; the backslash comes first.
+ESCAPES = (("\\", "\\b"), ("\r", "\\r"), ("\n", "\\n"))
+# Put before an empty text or one of blanks only, which would leave a blank line.
+BLANK_MARK = "\\e"
+NULL_MARK = "\\N"
+
+
+def _escaped(text: Column) -> Column:
+    """One-line form of a text that `_unescaped` turns back exactly; no text becomes the NULL mark."""
+    out = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ESCAPES, text)
+    return F.when(F.rlike(text, F.lit(r"^[\x00-\x20]*$")), F.concat(F.lit(BLANK_MARK), out)).otherwise(out)
+
+
+def _unescaped(text: Column) -> Column:
+    out = F.replace(text, F.lit(BLANK_MARK), F.lit(""))
+    return reduce(lambda c, e: F.replace(c, F.lit(e[1]), F.lit(e[0])), reversed(ESCAPES), out)
+
+
 def _flat(df: DataFrame) -> DataFrame:
-    """Nested columns as JSON text, so that the table fits delimited text."""
+    """Texts in one-line form and nested columns as JSON text, so that the table fits delimited lines."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (MapType, StructType, ArrayType)):
-            cols.append(F.to_json(F.col(f.name)).alias(f.name))
+            cols.append(_escaped(F.to_json(F.col(f.name))).alias(f.name))
+        elif isinstance(f.dataType, StringType):
+            cols.append(_escaped(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
-# Written for a quoted empty text, so that NULL and '' stay apart.
-EMPTY_TEXT = '""'
 CSV_OPTIONS = {
-    "header": "false", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": EMPTY_TEXT,
+    "header": "false", "quote": '"', "escape": '"', "nullValue": NULL_MARK,
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Gzip-compressed CSV without header, nested columns as JSON, one file per task."""
+    """Gzip-compressed CSV without header, nested columns as JSON, one file per task.
+
+    A row is one line: backslash, CR and LF are written as ``\\b``, ``\\r``, ``\\n``, NULL as ``\\N``, and a text of
+    blanks only has ``\\e`` before it, so that every text comes back as it was.
+    """
     _flat(df).write.mode("overwrite").options(**CSV_OPTIONS).option("compression", "gzip").csv(path)
 
 
@@ -163,12 +187,12 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFr
     """Table written by ``export_csv``, typed by its schema."""
     nested = {f.name: f.dataType for f in schema.fields if isinstance(f.dataType, (MapType, StructType, ArrayType))}
     flat = ", ".join(f"`{f.name}` {'string' if f.name in nested else f.dataType.simpleString()}" for f in schema.fields)
-    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("nullValue", "emptyValue")}
-    df = (
-        spark.read.schema(flat).options(**options).option("multiLine", True)
-        .option("nullValue", "\u0001").option("emptyValue", "").csv(path)
-    )
-    return df.select(*[F.from_json(F.col(c), nested[c].simpleString()).alias(c) if c in nested else F.col(c) for c in df.columns])
+    df = spark.read.schema(flat).options(**CSV_OPTIONS).csv(path)
+    cols = []
+    for f in df.schema.fields:
+        back = _unescaped(F.col(f.name)) if isinstance(f.dataType, StringType) else F.col(f.name)
+        cols.append((F.from_json(back, nested[f.name].simpleString()) if f.name in nested else back).alias(f.name))
+    return df.select(*cols)
 
 
 def export_json(df: DataFrame, path: str) -> None:
@@ -256,8 +280,8 @@ def at_version(df: DataFrame, version: str | None = None, column: str = "release
 
 
 def with_provenance(df: DataFrame, credits: DataFrame, source: str = "source") -> DataFrame:
-    """Source, provider, licence and date of the credit put on every row."""
-    c = credits.select(F.col("datasource").alias(source), "provider", "licence", "updated_at")
+    """Source, provider, licence and date of the credit put on every row; of repeated credits the first provider's."""
+    c = first_wins(credits.select(F.col("datasource").alias(source), "provider", "licence", "updated_at"), [source], ["provider"])
     return df.join(c, source, "left")
 
 
@@ -278,6 +302,10 @@ def publish(
     A good copy becomes current by one appended pointer row; a bad one is listed
     as an error and the previous copy stays current. Copies are never changed
     after they are written, so a lost job leaves the current one untouched.
+
+    References are held both ways: the staged tables' own, and those of tables in
+    ``others`` (with a spec in ``specs``) that point at a staged one. A reference
+    to a table given nowhere counts as broken.
     """
     token = uuid.uuid4().hex
     by_name = {s.name: s for s in specs}
@@ -286,7 +314,11 @@ def publish(
         path = f"{root}/copies/{token}/{name}"
         by_name[name].align(df).write.mode("errorifexists").parquet(path)
         staged[name] = spark.read.schema(by_name[name].schema).parquet(path)
-    report = checks(spark, {**(others or {}), **staged}, [s for s in specs if s.name in staged])
+    inbound = [
+        replace(s, pk=(), not_null=(), fks={c: to for c, to in s.fks.items() if to[0] in staged})
+        for s in specs if s.name in (others or {}) and s.name not in staged
+    ]
+    report = checks(spark, {**(others or {}), **staged}, [*(s for s in specs if s.name in staged), *(s for s in inbound if s.fks)])
     failed = report.filter(~F.col("ok") & ~F.startswith("rule", F.lit("state:")))
     good = not failed.limit(1).collect()
     pointer = spark.createDataFrame(

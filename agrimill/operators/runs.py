@@ -31,8 +31,8 @@ def run_heads(
 
 
 def sheet_rows(cells: DataFrame, columns: Sequence[str], group: Sequence[str] = ("sheet",)) -> DataFrame:
-    """Long cells ``(sheet, row, col, value)`` to one row per sheet line."""
-    return cells.groupBy(*group, "row").pivot("col", list(columns)).agg(F.first("value", ignorenulls=True))
+    """Long cells ``(sheet, row, col, value)`` to one row per sheet line; of repeated cells the smallest value."""
+    return cells.groupBy(*group, "row").pivot("col", list(columns)).agg(F.min("value"))
 
 
 def with_header_line(

@@ -10,10 +10,13 @@ SPECS = [
     *units.SPECS, *workflows.SPECS, *registers.SPECS, CREDITS_SPEC,
 ]
 
-# Tables with a centroid, limited to an area by most flavors.
-LOCATED = (
+# Tables with a centroid. Every flavor of an area limits the land and water ones; some limit zones and soil as well.
+LAND_AND_WATER = (
     "registered_cadastral_parcels", "registered_graphic_parcels", "registered_hydrographic_items", "registered_area_items",
-    "registered_cadastral_buildings", "registered_natural_zones", "registered_protected_water_zones", "registered_soil_depths",
+    "registered_cadastral_buildings",
+)
+LOCATED = (
+    *LAND_AND_WATER, "registered_natural_zones", "registered_protected_water_zones", "registered_soil_depths",
     "registered_soil_available_water_capacities",
 )
 HEAVY_SOURCES = (
@@ -21,11 +24,11 @@ HEAVY_SOURCES = (
 )
 
 
-def around(name: str, circles: tuple[tuple[float, float, float], ...], postal: str, zones: tuple[str, ...], without: tuple[str, ...] = ()) -> Flavor:
-    """Flavor of a few areas: circles for located tables, a postal-code test, weather zones."""
+def around(name: str, circles: tuple[tuple[float, float, float], ...], postal: str, zones: tuple[str, ...], without: tuple[str, ...] = (), located: tuple[str, ...] = LOCATED) -> Flavor:
+    """Flavor of a few areas: circles for the tables in ``located``, a postal-code test, weather zones."""
     quoted = ", ".join(f"'{z}'" for z in zones)
     stations = " OR ".join(f"station_id LIKE 'FR{z}%'" for z in zones)
-    filters: dict = {t: circles for t in LOCATED}
+    filters: dict = {t: circles for t in located}
     filters.update({
         "registered_cadastral_prices": postal, "registered_postal_codes": postal,
         "registered_weather_stations": f"country = 'FR' AND country_zone IN ({quoted})", "registered_hourly_weathers": stations,
@@ -47,9 +50,9 @@ SEVEN_POSTAL = "postal_code IN ('17250', '19140', '33190', '50880', '64160', '44
 FULL = Flavor("full")
 LIGHT = Flavor("light", without=HEAVY_SOURCES)
 TEST = around("test", ((-0.78, 45.81, 0.10),), "postal_code = '17250'", ("17",))
-SEVEN = around("seven_areas", SEVEN_AREAS, SEVEN_POSTAL, ("17", "19", "33", "40", "50", "64", "44"))
-GIRONDE = around("gironde", ((-0.76, 44.70, 0.30),), "postal_code LIKE '33%'", ("33",), without=("enterprises",))
-LANDES = around("landes", ((-0.35, 43.85, 0.15),), "postal_code LIKE '40%'", ("40",), without=("enterprises",))
+SEVEN = around("innovation", SEVEN_AREAS, SEVEN_POSTAL, ("17", "19", "33", "40", "50", "64", "44"))
+GIRONDE = around("pv", ((-0.76, 44.70, 0.30),), "postal_code LIKE '33%'", ("33",), without=("enterprises",), located=LAND_AND_WATER)
+LANDES = around("sydec", ((-0.35, 43.85, 0.15),), "postal_code LIKE '40%'", ("40",), without=("enterprises",), located=LAND_AND_WATER)
 SOUTH_WEST = Flavor(
     "south_west", without=("enterprises",),
     filters={
@@ -61,14 +64,11 @@ SOUTH_WEST = Flavor(
     },
 )
 PARCELS_ONLY = Flavor(
-    "parcels", without=(
+    "natais", without=(
         "agroedi", "budgets", "cadastral_prices", "cadastre", "chart_of_accounts", "enterprises", "eu_market_prices", "hydrography",
         "intervention_models", "legal_positions", "phenological_stages", "prices", "protected_water_zones", "quality_and_origin_signs",
         "seed_varieties", "soil", "technical_workflows", "technical_workflow_sequences", "vine_varieties", "weather",
     ),
-    filters={
-        "registered_graphic_parcels": ((-0.87374, 43.55297, 4.0),),
-        "master_productions": "reference_name IN ('popcorn', 'summery_cover', 'wintry_cover', 'relay_cover')",
-    },
+    filters={"registered_graphic_parcels": ((-0.87374, 43.55297, 4.0),)},
 )
 PRESETS = {f.name: f for f in (FULL, LIGHT, TEST, SEVEN, GIRONDE, LANDES, SOUTH_WEST, PARCELS_ONLY)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that change results or plan quality and can be set on a live session.
 RUNTIME_CONF = {
@@ -35,6 +35,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", os.environ.get("AGRIMILL_DRIVER_MEMORY", memory))
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.files.minPartitionNum", str(cores))
         # Call sites in error messages cost a round trip per column expression. Fixed at start.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -59,13 +60,3 @@ def shared_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="agrimill-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
-
-
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a narrow input over all cores before costly per-row work.
-
-    A scan that already has as many partitions as there are cores, as any large
-    input has, is returned as it is: no shuffle is added to it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

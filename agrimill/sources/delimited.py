@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -29,9 +31,12 @@ def read_delimited(
 ) -> DataFrame:
     """Every column as text, header names in snake case.
 
-    Unquoted empty cells are NULL, quoted empty cells ``''``. All files of one
-    call share the layout of the first. ``multi_line`` allows line ends inside
-    quotes and makes each file one task, so it is off unless a source needs it.
+    Unquoted empty cells are NULL, quoted empty cells ``''``. Columns are matched
+    by name: the header line of every file is looked at, files of one header are
+    one scan, and a column that a file lacks is NULL in its rows. With ``names``
+    all files share that layout and no header is looked at. ``multi_line`` allows
+    line ends inside quotes and makes each file one task, so it is off unless a
+    source needs it.
     """
     reader = (
         spark.read.option("header", True).option("sep", sep).option("encoding", _accept(spark, encoding))
@@ -40,12 +45,25 @@ def read_delimited(
         .option("enforceSchema", True)
     )
     paths = [path] if isinstance(path, str) else list(path)
-    if names is None:
-        # Only the header of the first file is looked at here.
-        raw = reader.csv(paths[0]).columns
-        names = header_names([None if c.startswith("_c") and c[2:].isdigit() else c for c in raw])
-    schema = StructType([StructField(n, StringType()) for n in names])
-    return reader.schema(schema).csv(paths)
+    if names is not None:
+        return reader.schema(_texts(names)).csv(paths)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in _files(spark, paths):
+        raw = reader.csv(file).columns  # reads the header line only
+        found = tuple(header_names([None if c.startswith("_c") and c[2:].isdigit() else c for c in raw]))
+        layouts.setdefault(found, []).append(file)
+    # A reader keeps the schema once given, so each layout's columns are set right before its scan.
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [reader.schema(_texts(h)).csv(f) for h, f in layouts.items() if h] or [reader.schema(_texts(())).csv(paths)])
+
+
+def _texts(names: Sequence[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
+
+
+def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files under paths and patterns, in order of name; their content is not read. One string per file reaches the driver."""
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path").collect()
+    return sorted({unquote(r["path"]) for r in listed})
 
 
 def parse_lines(lines: DataFrame, headers: Sequence[str], sep: str = ",", line: str = "value") -> DataFrame:
@@ -63,13 +81,15 @@ def parse_lines(lines: DataFrame, headers: Sequence[str], sep: str = ",", line:
 def repair_lines(
     spark: SparkSession, path: str, headers: Sequence[str], sep: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:
-    """File with a broken header line: names replaced, blank lines dropped, any charset."""
+    """File with a broken header line: names replaced, blank lines dropped, any charset.
+
+    A line of separators only is a row of NULLs, not a blank line.
+    """
     return (
         spark.read.option("header", True).option("enforceSchema", True).option("sep", sep).option("encoding", _accept(spark, encoding))
         .option("quote", '"').option("escape", '"').option("nullValue", NEVER).option("emptyValue", "")
         .schema(StructType([StructField(h, StringType()) for h in headers]))
         .csv(path)
-        .dropna("all")
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agrimill.session import configure, widen
+from agrimill.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,8 +23,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def wide(self, name: str, *columns: str) -> DataFrame:
-        """Columns of a table for costly per-row work: spread over the cores when the file is one split."""
-        return widen(getattr(self, name).select(*columns))
+        """Some columns of a table; how many splits the scan has is left to the session."""
+        return getattr(self, name).select(*columns)
 
 
 def query(sql: str | None = None):

@@ -86,6 +86,35 @@ def test_reload_detects_damage(spark, tables, tmp_path):
     assert release.load_release(spark, base, verify=False)["sale"].count() == 2
 
 
+def test_reload_keeps_every_text(spark, tmp_path):
+    texts = ["  x ", " ", "", "a\r\nb", "\n", "\r", "\\", "\\N", "\\n", "\\e", "\\br", '"', 'q",', "#c", "\t", "\u00a0", None]
+    one = spark.createDataFrame([(t,) for t in texts], "v string")
+    two = spark.createDataFrame([(i, t, [t]) for i, t in enumerate(texts)], "id int, v string, l array<string>")
+    for name, df in (("one", one), ("two", two)):
+        release.export_csv(df.repartition(3), str(tmp_path / name))
+        back = release.read_csv_table(spark, str(tmp_path / name), df.schema)
+        assert rows(back) == rows(df), name
+
+
+def test_publish_holds_references_of_other_tables(spark, tables, tmp_path):
+    root = str(tmp_path / "in")
+    others = {"sale": tables["sale"]}
+    assert release.publish(spark, {"zone": tables["zone"]}, SPECS, root, others).filter("not ok and rule like 'ref%'").count() == 0
+    fewer = release.publish(spark, {"zone": tables["zone"].filter("id = 1")}, SPECS, root, others)
+    assert rows(fewer.filter("not ok and rule like 'ref%'"), "table_name", "n") == [("sale", 1)]
+    assert release.current(spark, ZONE, root).count() == 3
+    alone = release.publish(spark, {"sale": tables["sale"]}, SPECS, root)
+    assert rows(alone.filter("not ok"), "rule", "n") == [("reference:zone->zone", None)]
+
+
+def test_presets_limit_only_the_tables_named():
+    soil = {"registered_soil_depths", "registered_natural_zones", "registered_protected_water_zones", "registered_soil_available_water_capacities"}
+    for name in ("pv", "sydec"):
+        assert not soil & set(presets.PRESETS[name].filters)
+    assert soil <= set(presets.PRESETS["innovation"].filters)
+    assert set(presets.PRESETS["natais"].filters) == {"registered_graphic_parcels"}
+
+
 def test_versions(spark):
     df = spark.createDataFrame([(1, "1.9.0"), (2, "1.10.0"), (3, "1.10.0")], "id int, release string")
     assert rows(release.at_version(df), "id") == [(2,), (3,)]

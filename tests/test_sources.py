@@ -29,6 +29,20 @@ def test_delimited_encoding_and_line_breaks(spark, tmp_path):
     assert rows(delimited.read_delimited(spark, p, encoding="ISO-8859-15", multi_line=True)) == [("Épinay", "deux\nlignes")]
 
 
+def test_delimited_matches_columns_by_name(spark, tmp_path):
+    paths = [put(tmp_path / "m" / n, t) for n, t in (("a 1.csv", "Code,Name\n1,x\n"), ("b.csv", "name,code\ny,2\n"), ("c.csv", "code\n3\n"), ("d.csv", "code,name\n4,z\n"))]
+    want = [("1", "x"), ("2", "y"), ("3", None), ("4", "z")]
+    assert rows(delimited.read_delimited(spark, paths), "code", "name") == want
+    assert rows(delimited.read_delimited(spark, str(tmp_path / "m")), "code", "name") == want
+    tagged = shards.union_shards(spark, paths[1:], {"shard": r"([a-d])\.csv"})
+    assert rows(tagged, "shard", "code", "name") == [("b", "2", "y"), ("c", "3", None), ("d", "4", "z")]
+
+
+def test_repair_lines_keeps_lines_of_separators(spark, tmp_path):
+    p = put(tmp_path / "s.csv", "broken\n1,x\n\n,\n2,y\n")
+    assert rows(delimited.repair_lines(spark, p, ["id", "v"])) == [("1", "x"), ("2", "y"), (None, None)]
+
+
 def test_repair_lines(spark, tmp_path):
     p = put(tmp_path / "c.csv", "broken header\r\n1,a\r\n\r\n2,\r\n", "windows-1252")
     assert rows(delimited.repair_lines(spark, p, ["id", "v"], encoding="windows-1252")) == [("1", "a"), ("2", None)]
