@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import MapType
 
+from agrimill.session import stored
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the first in ``order``, ties settled by row content."""
@@ -114,3 +116,37 @@ def surrogate_dense(df: DataFrame, name: str, order: str, width: int = 1_000_000
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop("_bucket", "_inside", "_before")
     )
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as it takes to be new in the table."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def number_rows(df: DataFrame, name: str, order: Sequence[Column | str], start: int = 1) -> DataFrame:
+    """Number all rows without gaps in a global order, with no window over the table.
+
+    Rows are dealt by ranges of the order and sorted inside them, the table is written to the shared folder with every
+    row's place in its range, and each range begins where the counts of the ranges before it end. Only one count per
+    range is summed in one task. Rows equal in ``order`` follow each other in the order they are read in and may span
+    ranges, so a hot value is no single task; name enough columns where two runs must agree. A column called ``name`` is
+    replaced. An empty table stays empty.
+    """
+    kept = df.drop(name)
+    tie, place = spare_name(kept, "_tie"), spare_name(kept, "_place")
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    # Places are (range << 33) + row: what monotonically_increasing_id counts after the sort.
+    dealt = kept.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie)
+    placed = stored(dealt.drop(tie).withColumn(place, F.monotonically_increasing_id()), "numbered")
+    part, before = spare_name(placed, "_part"), spare_name(placed, "_before")
+    placed = placed.withColumn(part, F.shiftright(F.col(place), 33))
+    counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    offsets = counts.select(part, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(before))
+    inside = F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    # The broadcast has one row for each range: it follows the number of shuffle partitions, not the rows.
+    numbered = placed.join(F.broadcast(offsets), part).withColumn(name, (F.col(before) + inside + F.lit(start)).cast("long"))
+    return numbered.select(*kept.columns, name)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plan quality and can be set on a live session.
 RUNTIME_CONF = {
@@ -47,6 +48,10 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "12g"
     return spark
 
 
+# Folders made for sessions on one machine, by application: spark.checkpoint.dir cannot be set on a live session.
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and cut lineage.
 
@@ -54,9 +59,26 @@ def shared_dir(spark: SparkSession) -> str:
     a temporary folder of its own; any other session without it is refused, as its executors do not share local disks.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="agrimill-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if path:
+        return path
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _OWN_DIRS:
+        _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="agrimill-")
+    return _OWN_DIRS[context.applicationId]
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new place in the folder that all executors reach."""
+    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: lineage ends there, and a lost executor costs nothing.
+
+    Nothing removes the table; whoever runs a finished job may empty the shared folder.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

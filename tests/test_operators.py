@@ -190,3 +190,17 @@ def test_spec_alignment(spark):
     assert rows(NATION.align(df)) == [(1, None)]
     with pytest.raises(ValueError, match="not in the spec"):
         NATION.align(df.withColumn("nmae", F.lit(1)))
+
+
+def test_rows_are_numbered_in_a_global_order(spark):
+    from agrimill.operators.keyed import number_rows
+
+    df = spark.range(5000, numPartitions=3).select((F.col("id") % 3).alias("a"), F.pmod(F.xxhash64("id"), F.lit(50)).alias("b"), F.lit("x").alias("_tie"), F.lit(None).cast("int").alias("_place"))
+    got = number_rows(df, "n", [F.col("a").desc(), "b"]).collect()
+    assert sorted(r["n"] for r in got) == list(range(1, 5001))
+    in_order = [(-r["a"], r["b"]) for r in sorted(got, key=lambda r: r["n"])]
+    assert in_order == sorted(in_order)
+    assert number_rows(df, "n", ["a"], start=0).agg(F.min("n")).first()[0] == 0
+    assert number_rows(df.limit(0), "n", ["a"]).collect() == []
+    same = spark.range(1000).select(F.lit(1).alias("a"))
+    assert sorted(r["n"] for r in number_rows(same, "n", ["a"]).collect()) == list(range(1, 1001))
