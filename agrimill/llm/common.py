@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from agrimill.session import shared_path, stored
 
-from agrimill.session import shared_dir
+__all__ = ["BLANKS", "BLANK_RUN", "components", "field", "hash128", "n_words", "ranked", "shared_path", "slim", "stored", "words"]
 
 # The white space between words, \x20 and \x09-\x0D, as a set of characters and as a pattern.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -16,18 +16,6 @@ BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 BROADCAST_ROWS = 500_000
 
 
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A new place in the folder that all executors reach."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there, and a lost executor costs nothing."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def slim(df: DataFrame) -> DataFrame:
     """Hint a broadcast for a table of few, narrow rows if a count proves it small; larger ones are left to a shuffle join.
 
@@ -67,14 +55,6 @@ def ranked(df: DataFrame, keys: list[str], spread: Column, order: list[Column],
     return numbered.join(starts, [*keys, "_run"]).withColumn(rank, (F.col("_start") + F.col("_at")).cast("long")).drop("_run", "_start", "_at")
 
 
-def same_nulls(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equality on keys where null equals null."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
 def field(schema: T.StructType, name: str) -> T.StructField:
     return next(f for f in schema.fields if f.name == name)
 

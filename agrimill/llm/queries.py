@@ -1,4 +1,4 @@
-"""The corpus queries op1 to op10, and the SQL that checks those SQL can express."""
+"""The corpus queries op1 to op13, and the SQL that checks those SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agrimill.session import configure
-from agrimill.llm import chat as chats, host_rules, lines, minhash, mixing, multi_index, packing, records, sharding, warc
+from agrimill.llm import chat as chats, fill_middle, host_rules, importance, lines, minhash, mixing, multi_index, nb_svm, packing, records, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -194,3 +194,58 @@ def op1_circulant_minhash(spark, folder):
 def op7_inverted_multi_index(spark, folder):
     """The 20 nearest vectors of every twentieth one, against all."""
     return multi_index.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op12_nb_svm_quality(spark, folder):
+    """Quality of every document, learned from the labels that are not held out."""
+    return nb_svm.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(r"""
+with polynomial as (select list(c order by i) as t from (
+  select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c from range(256) r(i))
+), docs as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from documents
+), wanted as (
+  select unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) as w from benchmark
+), found as (select r, unnest(w) as w from docs),
+hashed as (
+  select w, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(w)), lambda i: cast('0x' || substr(hex(encode(w)), 2 * i + 1, 2) as bigint))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as b
+  from (select w from found union select w from wanted), polynomial
+), s as (select b, count(*) as s from found join hashed using (w) group by b),
+t as (select b, count(*) as t from wanted join hashed using (w) group by b),
+gains as (
+  select b, cast(floor(1000 * ln(cast(coalesce(t, 0) + 1 as double) * ((select sum(s) from s) + 10000) / (cast(s + 1 as double) * ((select coalesce(sum(t), 0) from t) + 10000)))) as bigint) as g
+  from s left join t using (b)
+), weights as (select r, sum(g) as weight from found join hashed using (w) join gains using (b) group by r),
+scored as (
+  select doc_id, cast(len(w) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+    cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast(cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) as double) + 0.5) / 4294967296))) as bigint) as score
+  from docs left join weights using (r)
+), ranks as (select *, n_features >= 20 as fit, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as k from scored)
+select doc_id, n_features, weight, score, case when fit and k <= (select count(*) from scored where n_features >= 20) * 10 // 100 then k end as rank from ranks
+""")
+def op13_prefix_crc_resampling(spark, folder):
+    """A tenth of the documents, drawn to look like the benchmark."""
+    got = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return got.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(r"""
+with docs as (select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as d from documents),
+numbers as (
+  select *, length(t) as n, cast('0x' || d[1:8] as bigint) as h1, cast('0x' || d[9:16] as bigint) as h2, cast('0x' || d[17:24] as bigint) as h3, cast('0x' || d[25:32] as bigint) as h4 from docs
+), cuts as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from numbers
+), parts as (select *, substring(t, 1, a) as pre, substring(t, a + 1, b - a) as mid, substring(t, b + 1) as suf from cuts)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+""")
+def op11_seekable_fill_middle(spark, folder):
+    """Every document as a fill-in-the-middle example, with digests of the example and of the text rebuilt from it."""
+    return fill_middle.digests(fill_middle.fill_middle(table(spark, folder, "documents")))

@@ -29,4 +29,4 @@ def test_stages(spark):
 
 def test_every_corpus_query_is_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
