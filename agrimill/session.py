@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # Split hot join keys even when the next operator reuses the partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Batches handed to Python are bounded by bytes as well as rows: long texts come few at a time.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 26),
 }
 
 
