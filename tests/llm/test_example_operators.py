@@ -218,6 +218,14 @@ def test_quality_of_odd_rows(spark, frame):
     assert empty[900] == empty[901]
 
 
+def test_labels_beyond_the_bound_are_sampled(spark, frame):
+    docs = frame([(i, f"t{i}") for i in range(2000)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id long, quality int")
+    assert nb_svm.labelled(docs, labels).count() == 2000
+    some = {bytes(r["text"]) for r in nb_svm.labelled(docs, labels, max_labels=500).collect()}
+    assert 400 < len(some) < 600 and some == {bytes(r["text"]) for r in nb_svm.labelled(docs, labels, max_labels=500).collect()}
+
+
 def test_quality_without_labels(spark, frame):
     nothing = spark.createDataFrame([], "doc_id long, quality int")
     assert [x["score"] for x in nb_svm.classify(frame([(1, "a b"), (2, None)]), nothing).collect()] == [0.5, 0.5]
@@ -228,10 +236,21 @@ def test_quality_without_labels(spark, frame):
 
 
 def test_ngrams_do_not_depend_on_portions(monkeypatch):
-    text = " ".join(f"w{i % 50} X{i % 7}" for i in range(500))
-    whole = nb_svm.Grams(1 << 12).of(text)
-    monkeypatch.setattr(nb_svm, "SLICE", 100)
-    assert nb_svm.Grams(1 << 12).of(text).tolist() == whole.tolist()
+    r = random.Random(9)
+    texts = ["", "one", " \n", "é É", "A" * 300] + [" ".join(r.choice(["w1", "X,", "né", "!!", "w1"]) for _ in range(r.choice([3, 40, 700]))) for _ in range(30)]
+    data = [t.encode() for t in texts] + [None]
+    alone = [sorted(next(nb_svm.Grams(1 << 12).each([t])).tolist()) for t in data]
+    assert [sorted(x.tolist()) for x in nb_svm.Grams(1 << 12).each(data)] == alone
+    for portion in (1, 5, 100):
+        monkeypatch.setattr(nb_svm, "SLICE", portion)
+        assert [sorted(x.tolist()) for x in nb_svm.Grams(1 << 12).each(data)] == alone
+
+
+def test_words_and_shapes():
+    w, s, at = nb_svm.word_hashes("The the THE a,b x,y 12 3 né".encode())
+    assert at.tolist() == [0, 4, 8, 12, 16, 20, 23, 25]
+    assert w[0] == w[1] == w[2] != w[3] and len(set(w.tolist())) == 6
+    assert s[3] == s[4] and s[5] == s[6] and len({*s[:4].tolist(), s[5]}) == 5
 
 
 def test_dual_descent_reaches_the_optimum():
