@@ -6,22 +6,24 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from agrimill.session import shared_path, stored
 
-__all__ = ["BLANKS", "BLANK_RUN", "components", "field", "hash128", "n_words", "ranked", "shared_path", "slim", "stored", "words"]
+__all__ = ["BLANKS", "BLANK_RUN", "components", "field", "has_word", "hash128", "n_words", "ranked", "shared_path", "slim", "stored", "words"]
 
 # The white space between words, \x20 and \x09-\x0D, as a set of characters and as a pattern.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 
-# A join side is broadcast only when it was counted and found to have no more rows than this.
-BROADCAST_ROWS = 500_000
+# A join side is broadcast only when it was measured: no more rows than this, and no more bytes of files.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 1 << 24
 
 
 def slim(df: DataFrame) -> DataFrame:
-    """Hint a broadcast for a table of few, narrow rows if a count proves it small; larger ones are left to a shuffle join.
+    """Hint a broadcast for a stored table whose files prove it small; larger ones are left to a shuffle join.
 
-    Give it a stored table only, so that the count reads no more than file footers.
+    Both the rows and the bytes of its files have a bound. The count reads no more than file footers, and Spark's own
+    estimate for a table that is read back whole is the size of its files.
     """
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(df) if size <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS else df
 
 
 def words(text: Column) -> Column:
@@ -29,6 +31,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK_RUN), "")
 
 
+def has_word(text: Column) -> Column:
+    """Whether anything but white space is in the text; the search ends at the first such character."""
+    return text.rlike("[^\\x20\\x09-\\x0D]")
+
+
 def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
 

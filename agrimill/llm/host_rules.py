@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from agrimill.llm.common import BLANKS, field, slim, stored, words
+from agrimill.llm.common import field, has_word, slim, stored, words
 
 # Rules a document can fail, and the shrunk share of failing documents above which a host is rejected.
 HOST_LIMIT = 0.5
@@ -18,16 +18,13 @@ def signals(docs: DataFrame, text: str = "text", host: str = "source") -> DataFr
     everywhere. All work is inside the row: window texts are sorted, and a window is repeated when a neighbour equals it.
     """
     t = F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))
-    solid = F.translate(t, BLANKS, "")
-    symbols = F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))
     base = docs.select(F.struct("*").alias("row")).select(
         "row",
         F.col(f"row.`{host}`").cast("string").alias("host"),
         words(t).alias("_w"),
-        F.filter(F.split(t, "\n"), lambda line: F.translate(line, BLANKS, "") != "").alias("_lines"),
-        F.length(solid).cast("long").alias("word_chars"),
-        symbols.cast("long").alias("n_symbols"),
-    )
+        F.filter(F.split(t, "\n"), has_word).alias("_lines"),
+        F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+    ).withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
 
     def window(i: Column) -> Column:
         return F.struct(F.concat_ws(" ", F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2)).alias("g"), i.alias("i"))
@@ -126,8 +123,10 @@ def host_quality_ids(docs: DataFrame, key: str = "doc_id", text: str = "text", h
 def keep_good(docs: DataFrame, text: str = "text", host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """The documents that pass, with their own columns.
 
-    The partition number is carried along because a filter is not pushed past it: pushed down, the verdict would be
-    put in place of every count it names, and each window of a text would sort all its windows again.
+    The counts are made once and stored, beside them the rows that pass the base rules; rows that fail them are only
+    counted for their host.
     """
-    rated = signals(docs, text, host).withColumn("_here", F.spark_partition_id())
-    return judge(rated, host_rates(rated, limit)).where(F.col("kept") & (F.col("_here") >= 0)).select("row.*")
+    rated = signals(docs, text, host)
+    failed = failures()
+    rated = stored(rated.withColumn("row", F.when(~(failed["few_words"] | failed["repeated"]), F.col("row"))), "rated")
+    return judge(rated, host_rates(rated, limit)).where("kept").select("row.*")

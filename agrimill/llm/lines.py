@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from agrimill.llm.common import BLANKS, hash128, slim, stored, words
+from agrimill.llm.common import has_word, hash128, slim, stored, words
 
 # Shorter lines are duplicates only when equal: one word of few can be all that a line says.
 MIN_WORDS = 8
@@ -48,17 +48,17 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     """Lines to remove: doc, t, lines (numbers from 0). See `dedup_lines` for the rules."""
     source = _documents(docs, key, text)
     exploded = source.select(F.col("doc").isNull().alias("late"), "doc", "t", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    w = words(F.col("line"))
     n = F.size("w")
     first, last = _half_keys(F.col("w"), n)
     long_enough = n >= min_words
-    keyed = exploded.where(F.translate("line", BLANKS, "") != "").withColumn("w", w).select(
+    keyed = exploded.where(has_word(F.col("line"))).withColumn("w", line_words(F.col("line"))).select(
         *POS, hash128(F.col("line")).alias("h"), n.alias("n"), F.when(long_enough, first).alias("first"), F.when(long_enough, last).alias("last")
     )
-    flat = keyed.select(
+    # The only pass that hashes lines: what follows reads places and hashes.
+    flat = stored(keyed.select(
         *POS, F.col("h.a").alias("a"), F.col("h.b").alias("b"), "n",
         F.get("first", 0).alias("f0"), F.get("first", 1).alias("f1"), F.get("last", 0).alias("l0"), F.get("last", 1).alias("l1"),
-    )
+    ), "all-lines")
     # Distinct lines with their first place; a hot line is combined before the shuffle.
     distinct = flat.groupBy("a", "b").agg(
         F.min(_pos()).alias("pos"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), *[F.max(k).alias(k) for k in ("f0", "f1", "l0", "l1")]
@@ -68,11 +68,15 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     # What makes a line go: the place of its first copy, unless that is gone too.
     gone = distinct.where("copies > 1").select("a", "b", "pos").join(near.withColumn("near", F.lit(True)), ["a", "b"], "full").select("a", "b", "pos", F.coalesce("near", F.lit(False)).alias("near"))
     gone = slim(stored(gone, "repeats"))
-    lines = exploded.where(F.translate("line", BLANKS, "") != "").select(*POS, hash128(F.col("line")).alias("h"))
-    out = lines.join(gone, (F.col("h.a") == gone["a"]) & (F.col("h.b") == gone["b"])).where(F.col("near") | (_pos() != F.col("pos")))
+    out = flat.select(*POS, "a", "b").join(gone, ["a", "b"]).where(F.col("near") | (_pos() != F.col("pos")))
     return out.groupBy("doc", "t").agg(F.collect_set("line_no").alias("lines"))
 
 
+def line_words(line: Column) -> Column:
+    """As `words`; lines whose words are single spaces apart are cut without a pattern."""
+    return F.when(line.rlike("[\\x09-\\x0D]|  |^ | $"), words(line)).otherwise(F.split(line, " "))
+
+
 def n_at_least(min_words: int) -> Column:
     return F.col("n") >= min_words
 
@@ -96,18 +100,18 @@ def near_repeats(source: DataFrame, distinct: DataFrame, min_words: int) -> Data
     at, last = F.floor((F.col("n") - 1) / 2).cast("int"), F.col("n") - F.floor((F.col("n") - 1) / 2).cast("int")
     # Words hashed with their place, as it is and as it would be one earlier; running xors give every remainder in one pass.
     placed = texts.repartition("a", "b").select("a", "b", "pos", "n", "by_first", "by_last", F.posexplode("w").alias("i", "word"))
-    of_line = W.partitionBy("a", "b").orderBy("i")
-    before, after, whole = of_line.rowsBetween(W.unboundedPreceding, -1), of_line.rowsBetween(1, W.unboundedFollowing), W.partitionBy("a", "b")
-
-    def remainder(seed: int) -> Column:
-        kept = F.coalesce(F.bit_xor(F.xxhash64(F.lit(seed), "i", "word")).over(before), F.lit(0))
-        moved = F.coalesce(F.bit_xor(F.xxhash64(F.lit(seed), F.col("i") - 1, "word")).over(after), F.lit(0))
-        return kept.bitwiseXOR(moved)
-
-    def entire(seed: int) -> Column:
-        return F.bit_xor(F.xxhash64(F.lit(seed), "i", "word")).over(whole)
-
-    hashed = placed.select("a", "b", "pos", "n", "by_first", "by_last", "i", remainder(1).alias("va"), remainder(2).alias("vb"), entire(1).alias("wa"), entire(2).alias("wb"))
+    of_line = W.partitionBy("a", "b").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    whole = W.partitionBy("a", "b")
+    seeds = (1, 2)
+    placed = placed.select("*", *[F.xxhash64(F.lit(s), "i", "word").alias(f"h{s}") for s in seeds], *[F.xxhash64(F.lit(s), F.col("i") - 1, "word").alias(f"m{s}") for s in seeds]).drop("word")
+    run = placed.select("*", *[F.bit_xor(f"{x}{s}").over(of_line).alias(f"{x}{s}_upto") for x in "hm" for s in seeds], *[F.bit_xor(f"{x}{s}").over(whole).alias(f"{x}{s}_all") for x in "hm" for s in seeds])
+
+    def remainder(s: int) -> Column:
+        """Words before as they are, words after one place earlier: the latter are all without those up to here."""
+        before = F.col(f"h{s}_upto").bitwiseXOR(F.col(f"h{s}"))
+        return before.bitwiseXOR(F.col(f"m{s}_all")).bitwiseXOR(F.col(f"m{s}_upto"))
+
+    hashed = run.select("a", "b", "pos", "n", "by_first", "by_last", "i", remainder(1).alias("va"), remainder(2).alias("vb"), F.col("h1_all").alias("wa"), F.col("h2_all").alias("wb"))
     variants = hashed.where((F.col("by_first") & (F.col("i") >= at)) | (F.col("by_last") & (F.col("i") <= last))).select("a", "b", "pos", "va", "vb", "i")
     itself = hashed.where("i = 0").select("a", "b", "pos", F.col("wa").alias("va"), F.col("wb").alias("vb"), F.lit(-1).alias("i"))
     emitted = stored(variants.unionByName(itself), "variants")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agrimill.session import configure
 from agrimill.llm import host_rules, lines, minhash, mixing, packing
-from agrimill.llm.common import BLANKS, shared_path
+from agrimill.llm.common import has_word, shared_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines, n_chars made anew; those left without a word are gone, as all they said stands earlier."""
-    kept = lines.dedup_lines(docs).where(F.translate("text", BLANKS, "") != "")
+    kept = lines.dedup_lines(docs).where(has_word(F.col("text")))
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
