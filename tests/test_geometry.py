@@ -99,13 +99,49 @@ def test_centroid_far_from_origin_is_precise(spark):
     assert abs(x - (1e7 + 5e-4)) < 1e-8 and abs(y - (1e7 + 5e-4)) < 1e-8
 
 
-@pytest.mark.parametrize("geom,valid", [
+SHAPES = [
     ([[ring(0, 0, 1, 1)]], True), ([[[(0, 0), (1, 1), (1, 0), (0, 1), (0, 0)]]], False), ([[[(0, 0), (1, 0), (1, 1)]]], False),
     ([[[(0, 0), (1, 0), (1, 1), (0, 1)]]], False), ([[[(0, 0), (1, 1), (2, 2), (0, 0)]]], False), ([], False), (None, False),
     ([[[(0, 0), (float("nan"), 0), (1, 1), (0, 0)]]], False), ([[ring(0, 0, 4, 4), ring(1, 1, 1, 1)]], True),
-])
-def test_validity(spark, geom, valid):
-    assert shape(spark, geom).select(geo.polygon_is_valid(F.col("g"))).collect()[0][0] is valid
+    # Holes outside the shell, inside another hole, and touching it in one point.
+    ([[ring(0, 0, 4, 4), ring(5, 5, 1, 1)]], False), ([[ring(0, 0, 9, 9), ring(1, 1, 5, 5), ring(2, 2, 1, 1)]], False),
+    ([[ring(0, 0, 4, 4), [(0, 2), (1, 1), (1, 3), (0, 2)]]], True), ([[ring(0, 0, 4, 4), ring(0, 1, 1, 1)]], False),
+    ([[ring(0, 0, 4, 4), ring(1, 1, 1, 1), ring(2, 2, 1, 1)]], True), ([[ring(0, 0, 4, 4), ring(0, 0, 4, 4)]], False),
+    # A hole whose points all lie on the shell, but which is outside of it.
+    ([[[(0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (0, 0)], [(4, 0), (4, 4), (2, 2), (4, 0)]]], False),
+    # Rings that touch themselves in a point, run back on themselves, and repeat a point.
+    ([[[(0, 0), (2, 0), (1, 1), (2, 2), (0, 2), (1, 1), (0, 0)]]], False), ([[[(0, 0), (4, 0), (4, 4), (4, 6), (4, 4), (0, 4), (0, 0)]]], False),
+    ([[[(0, 0), (1, 0), (1, 0), (1, 1), (0, 1), (0, 0)]]], True),
+    # Polygons apart, touching in a point, along an edge, inside each other, and inside a hole of another.
+    ([[ring(0, 0, 1, 1)], [ring(3, 3, 1, 1)]], True), ([[ring(0, 0, 1, 1)], [ring(1, 1, 1, 1)]], True), ([[ring(0, 0, 1, 1)], [ring(1, 0, 1, 1)]], False),
+    ([[ring(0, 0, 5, 5)], [ring(1, 1, 1, 1)]], False), ([[ring(0, 0, 9, 9), ring(2, 2, 5, 5)], [ring(3, 3, 1, 1)]], True),
+]
+
+
+@pytest.mark.parametrize("row_edges", [None, 0, 6])
+def test_validity(spark, row_edges):
+    df = spark.createDataFrame([(i, floats(g)) for i, (g, _) in enumerate(SHAPES)], f"id int, g {MULTIPOLYGON}")
+    got = ops.flag_valid(df, "g", row_edges=row_edges).select("id", "valid").collect()
+    assert sorted(tuple(r) for r in got) == [(i, valid) for i, (_, valid) in enumerate(SHAPES)]
+
+
+def test_validity_of_one_polygon(spark):
+    df = spark.createDataFrame([(1, floats([ring(0, 0, 4, 4)])), (2, floats([ring(0, 0, 4, 4), ring(5, 5, 1, 1)])), (2, None)], f"id int, valid {POLYGON}")
+    for row_edges in (None, 0):
+        got = ops.flag_valid(df.withColumnRenamed("valid", "g"), "g", depth=2, row_edges=row_edges).select("id", "valid").collect()
+        assert sorted(tuple(r) for r in got) == [(1, True), (2, False), (2, False)]
+
+
+def test_validity_of_many_edges(spark):
+    n = 20_000
+    coast = [(math.cos(2 * math.pi * k / n) * (1 + 0.01 * math.sin(k / 9)), math.sin(2 * math.pi * k / n) * (1 + 0.01 * math.sin(k / 9))) for k in range(n)]
+    comb = [p for k in range(n // 4) for p in ((4.0 * k, 0.0), (4.0 * k + 1, 50.0), (4.0 * k + 2, 50.0), (4.0 * k + 3, 0.0))] + [(float(n), -5.0), (0.0, -5.0)]
+    crossed = list(comb)
+    crossed[101] = (crossed[101][0] + 9, crossed[101][1])
+    closed = [r + r[:1] for r in (coast, comb, crossed)]
+    df = spark.createDataFrame([(1, [[closed[0], ring(0, 0, 0.1, 0.1)]]), (2, [[closed[1]]]), (3, [[closed[2]]]), (4, [[closed[0], ring(5, 0, 1, 1)]]), (5, [[closed[0]], [ring(0, 0, 0.5, 0.5)]])], f"id int, g {MULTIPOLYGON}")
+    got = ops.flag_valid(df, "g").select("id", "valid").collect()
+    assert sorted(tuple(r) for r in got) == [(1, True), (2, True), (3, False), (4, False), (5, False)]
 
 
 @pytest.mark.parametrize("x,y,inside", [
