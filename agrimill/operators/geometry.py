@@ -195,14 +195,18 @@ def point_in_polygon_join(
 
     Each polygon is filed under the grid level whose cell is no smaller than its
     box, so it lies in four cells at most however large it is. A point is looked
-    up in its one cell of each level. That makes the join an equi-join on the
-    cell, with the box and the exact test as extra conditions, and a matching
-    pair meets exactly once. Hot cells are split by adaptive execution, or, with
-    ``hot_rows`` set, by salting the cells that hold more points than that.
-
-    ``levels`` lists the grid levels to use, about eight by default. Fewer levels
-    mean fewer look-ups per point; a polygon then goes to the next larger level
-    listed, or to several cells of the largest one, so the result is the same.
+    up in its one cell of each level that polygons use, which one job finds out
+    first. That makes the join an equi-join on the cell, with the box as an extra
+    condition. Polygons of few points are tested there and then. For larger ones,
+    points in the box go on to an index of edges: a shape's edges are filed by
+    level strips, and a point meets only those of its own strip, by a second
+    equi-join, which also spreads a polygon that most points fall into. Hot cells
+    are split by adaptive execution, or, with ``hot_rows`` set, by salting the
+    cells that hold more points than that.
+
+    ``levels`` lists the grid levels to use, any of about eight by default. Fewer
+    levels mean fewer look-ups per point; a polygon then goes to the next larger
+    level listed, or to several cells of the largest one, so the result is the same.
     """
     all_levels = list(range(_levels(cell))) if levels is None else sorted(levels)
     # NaN instead of NULL: nothing compares with it, and the join infers no null
@@ -222,29 +226,48 @@ def point_in_polygon_join(
     def span(low: str, high: str) -> Column:
         return F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
 
-    filed = (
-        polygons.withColumn("_box", box)
-        .withColumn("_level", level.cast("int"))
-        .withColumn("_edges", geo.edges(F.col(shape), depth))
-        .withColumn("_cx", F.explode_outer(span("_box.minx", "_box.maxx")))
-        .withColumn("_cy", F.explode_outer(span("_box.miny", "_box.maxy")))
-        .withColumn("_cell", F.struct(F.col("_level").alias("level"), F.col("_cx").alias("cx"), F.col("_cy").alias("cy")))
-        .drop("_level", "_cx", "_cy")
-    )
+    large = F.coalesce(geo.edge_count(F.col(shape), depth) > ROW_EDGES, F.lit(False))
+    boxed = polygons.withColumn("_box", box).withColumn("_level", level.cast("int")).withColumn("_large", large)
+    used = boxed.select("_large", "_level").distinct().collect()  # two rows for each level at most
     px, py = F.coalesce(F.col(f"{point}.x"), nan), F.coalesce(F.col(f"{point}.y"), nan)
     looked_up = points.withColumn("_px", px).withColumn("_py", py)
-    exploded = looked_up.withColumn(
-        "_cell",
-        F.explode(F.array(*[_cell_key(F.col("_px"), F.col("_py"), F.lit(n), cell) for n in all_levels])),
-    )
-    exact = (
+    in_box = (
         (F.col("_px") >= F.col("_box.minx")) & (F.col("_px") <= F.col("_box.maxx"))
         & (F.col("_py") >= F.col("_box.miny")) & (F.col("_py") <= F.col("_box.maxy"))
-        & geo.covers(F.col("_edges"), F.col("_px"), F.col("_py"))
     )
+
+    def met(kind: DataFrame, at: list[int], extra: Column) -> DataFrame:
+        """Points with the polygons that share a cell of the levels given."""
+        filed = (
+            kind.withColumn("_cx", F.explode_outer(span("_box.minx", "_box.maxx")))
+            .withColumn("_cy", F.explode_outer(span("_box.miny", "_box.maxy")))
+            .withColumn("_cell", F.struct(F.col("_level").alias("level"), F.col("_cx").alias("cx"), F.col("_cy").alias("cy")))
+            .drop("_level", "_cx", "_cy", "_large")
+        )
+        cells = F.array(*[_cell_key(F.col("_px"), F.col("_py"), F.lit(n), cell) for n in at])
+        return salted_join(looked_up.withColumn("_cell", F.explode(cells)), filed, ["_cell"], "inner", hot_rows=hot_rows, salts=salts, extra=in_box & extra)
+
     helpers = ["_box", "_edges", "_cell", "_px", "_py"]
-    joined = salted_join(exploded, filed, ["_cell"], "inner", hot_rows=hot_rows, salts=salts, extra=exact)
-    return joined.drop(*helpers)
+    edges = geo.edges(F.col(shape), depth)
+    levels_of = {kind: sorted(r["_level"] for r in used if r["_large"] == kind) for kind in (False, True)}
+    covered = geo.covers(F.col("_edges"), F.col("_px"), F.col("_py"))
+    few = met(boxed.where("not _large").withColumn("_edges", edges), levels_of[False] or all_levels[:1], covered).drop(*helpers)
+    if not levels_of[True]:
+        return few
+    keyed = boxed.where("_large").withColumns({"_ha": F.xxhash64(shape), "_hb": F.xxhash64(F.lit(7), shape)}).withColumn("_height", _strip_height(edges))
+    height, strip = F.col("_height"), lambda y: F.coalesce(F.floor((y - F.col("_box.miny")) / F.nullif(height, F.lit(0.0))), F.lit(0))
+    index = keyed.dropDuplicates(["_ha", "_hb"]).select("_ha", "_hb", "_box", "_height", F.explode(edges).alias("e"))
+    index = index.select("_ha", "_hb", "e", F.explode(F.sequence(strip(F.least("e.y1", "e.y2")), strip(F.greatest("e.y1", "e.y2")))).alias("_strip"))
+    index = index.groupBy("_ha", "_hb", "_strip").agg(F.collect_list("e").alias("_edges"))
+    candidates = met(keyed, levels_of[True], F.lit(True)).withColumn("_strip", strip(F.col("_py")))
+    many = candidates.join(index, ["_ha", "_hb", "_strip"]).where(covered).drop(*helpers, "_ha", "_hb", "_strip", "_height")
+    return many if not levels_of[False] else few.unionByName(many)
+
+
+def _strip_height(edges: Column) -> Column:
+    """Height of the strips that a shape's edges are filed by: some times the mean height of its edges."""
+    total = F.aggregate(edges, F.lit(0.0), lambda t, e: t + F.abs(e["y2"] - e["y1"]))
+    return total / F.nullif(F.size(edges), F.lit(0)) * STRIP_EDGES
 
 
 def within_any(df: DataFrame, geom: str, circles: Sequence[tuple[float, float, float]]) -> DataFrame:

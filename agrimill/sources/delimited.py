@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import io
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -32,8 +36,9 @@ def read_delimited(
     """Every column as text, header names in snake case.
 
     Unquoted empty cells are NULL, quoted empty cells ``''``. Columns are matched
-    by name: the header line of every file is looked at, files of one header are
-    one scan, and a column that a file lacks is NULL in its rows. With ``names``
+    by name: the header lines of all files are read in one job, files of one header
+    are one scan, and a column that a file lacks is NULL in its rows. Files without
+    a line have no columns and no rows. With ``names``
     all files share that layout and no header is looked at. ``multi_line`` allows
     line ends inside quotes and makes each file one task, so it is off unless a
     source needs it.
@@ -48,12 +53,54 @@ def read_delimited(
     if names is not None:
         return reader.schema(_texts(names)).csv(paths)
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for file in _files(spark, paths):
-        raw = reader.csv(file).columns  # reads the header line only
-        found = tuple(header_names([None if c.startswith("_c") and c[2:].isdigit() else c for c in raw]))
-        layouts.setdefault(found, []).append(file)
+    for file, header in headers(spark, _files(spark, paths), sep, encoding):
+        layouts.setdefault(tuple(header_names(header)), []).append(_literal(file))
     # A reader keeps the schema once given, so each layout's columns are set right before its scan.
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [reader.schema(_texts(h)).csv(f) for h, f in layouts.items() if h] or [reader.schema(_texts(())).csv(paths)])
+    scans = [reader.schema(_texts(h)).csv(f) for h, f in layouts.items() if h]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans) if scans else spark.createDataFrame([], _texts(()))
+
+
+def headers(spark: SparkSession, files: Sequence[str], sep: str = ",", encoding: str = "UTF-8") -> list[tuple[str, list[str | None]]]:
+    """Each file with the cells of its first line that is not blank, in the order given; one job, whatever the number of files.
+
+    Tasks open the files and read no further than that line; files in a store that only Spark's readers know are looked at
+    one by one. Compressed files are known by their endings. A cell without a
+    name is None; a name that comes twice gets the place of its column behind it.
+    """
+    charset = "utf-8-sig" if encoding.lower() in ("utf-8", "utf8") else encoding
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for file in batch.column(0).to_pylist():
+                try:
+                    store, name = fs.FileSystem.from_uri(file) if "://" in file else (fs.LocalFileSystem(), re.sub("^file:", "", file))
+                except pa.ArrowInvalid:  # a store that only Spark knows
+                    found.append(None)
+                    continue
+                with store.open_input_stream(name, compression="detect") as data:
+                    lines = io.TextIOWrapper(data, charset, newline="")
+                    rows = csv.reader(lines, delimiter=sep) if len(sep) == 1 else (line.rstrip("\r\n").split(sep) for line in lines)
+                    found.append(next((row for row in rows if any(cell.strip() for cell in row) or len(row) > 1), []))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["file", "cells"])
+
+    if not files:
+        return []
+    listed = spark.createDataFrame([(f,) for f in files], "file string")
+    tasks = min(len(files), 4 * spark.sparkContext.defaultParallelism)
+    cells = {r["file"]: r["cells"] for r in listed.repartition(tasks, "file").mapInArrow(read, "file string, cells array<string>").collect()}
+    first = spark.read.option("header", True).option("sep", sep).option("encoding", _accept(spark, encoding)).option("quote", '"').option("escape", '"')
+    return [(f, _named(cells[f]) if cells[f] is not None else [None if re.fullmatch("_c[0-9]+", c) else c for c in first.csv(_literal(f)).columns]) for f in files]
+
+
+def _named(cells: Sequence[str]) -> list[str | None]:
+    lowered = [c.lower() for c in cells]
+    return [None if not c else f"{c}{i}" if lowered.count(c.lower()) > 1 else c for i, c in enumerate(cells)]
+
+
+def _literal(path: str) -> str:
+    """A path whose pattern characters stand for themselves."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def _texts(names: Sequence[str]) -> StructType:
@@ -63,7 +110,7 @@ def _texts(names: Sequence[str]) -> StructType:
 def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """Files under paths and patterns, in order of name; their content is not read. One string per file reaches the driver."""
     listed = spark.read.format("binaryFile").load(list(paths)).select("path").collect()
-    return sorted({unquote(r["path"]) for r in listed})
+    return sorted({r["path"] for r in listed})
 
 
 def parse_lines(lines: DataFrame, headers: Sequence[str], sep: str = ",", line: str = "value") -> DataFrame:

@@ -8,6 +8,8 @@ from agrimill.functions import numbers
 from agrimill.operators import keyed, runs
 from agrimill.operators.aggregates import latest_version
 from agrimill.operators.release import at_version
+from agrimill.session import shared_path
+from agrimill.sources.delimited import read_delimited
 from agrimill.sources.shards import new_files, union_tables
 from driver_queries.registry import Tables, query
 
@@ -174,6 +176,22 @@ def q_shards(t: Tables):
     )
 
 
+@query("""
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'a%20' WHEN o_orderkey % 3 = 1 THEN 'b c' ELSE 'd' END AS shard, o_orderkey AS order_key, o_orderpriority AS order_priority,
+       CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_custkey AS VARCHAR) END AS cust_key
+FROM orders
+""")
+def q_shard_files(t: Tables):
+    """Orders written as delimited files of three layouts under odd names, read back as one table with the shard kept."""
+    folder = shared_path(t.spark, "shards")
+    layouts = (("a%20", ["orderKey", "orderPriority", "custKey"]), ("b c", ["custKey", "orderKey", "orderPriority"]), ("d", ["orderPriority", "orderKey"]))
+    named = t.orders.select(F.col("o_orderkey").alias("orderKey"), F.col("o_orderpriority").alias("orderPriority"), F.col("o_custkey").alias("custKey"))
+    for i, (name, columns) in enumerate(layouts):
+        named.where(F.col("orderKey") % 3 == i).select(*columns, F.lit(name).alias("shard")).write.option("header", True).csv(f"{folder}/{name}")
+    rows = read_delimited(t.spark, [f"{folder}/{name}" for name, _ in layouts])
+    return rows.select("shard", F.col("order_key").cast("long").alias("order_key"), "order_priority", "cust_key")
+
+
 @query("""
 WITH m AS (SELECT url AS path, sha256(html) AS h, length(html) AS size FROM pages WHERE html LIKE '%lang="fr"%')
 SELECT page_id, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.path = p.url AND m.h = sha256(p.html))

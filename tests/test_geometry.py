@@ -144,6 +144,25 @@ def test_validity_of_many_edges(spark):
     assert sorted(tuple(r) for r in got) == [(1, True), (2, True), (3, False), (4, False), (5, False)]
 
 
+def test_points_in_polygons_of_many_edges(spark):
+    rnd = random.Random(8)
+
+    def coast(cx, cy, size, n):
+        r = [(cx + size * (1 + 0.3 * rnd.random()) * math.cos(2 * math.pi * k / n), cy + size * (1 + 0.3 * rnd.random()) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+        return r + r[:1]
+
+    polys = [(k, coast(rnd.uniform(0, 20), rnd.uniform(0, 20), rnd.choice([0.4, 3.0, 30.0]), rnd.choice([8, 70, 600]))) for k in range(30)]
+    polys.append((30, polys[3][1]))  # equal shapes are found both
+    points = [(i, rnd.uniform(-10, 30), rnd.uniform(-10, 30)) for i in range(400)] + [(500 + i, *polys[i][1][2]) for i in range(30)]
+    pdf = spark.createDataFrame([(i, (x, y)) for i, x, y in points] + [(999, None)], f"pid int, p {POINT}")
+    gdf = spark.createDataFrame([(k, [[r]]) for k, r in polys] + [(99, None)], f"gid int, g {MULTIPOLYGON}")
+    want = sorted((i, k) for i, x, y in points for k, r in polys if brute(x, y, r))
+    for part in (gdf, gdf.where("size(g[0][0]) > 65")):
+        kept = {r["gid"] for r in part.collect()}
+        got = sorted(tuple(r) for r in ops.point_in_polygon_join(pdf, part, "p", "g", cell=0.5).select("pid", "gid").collect())
+        assert got == [w for w in want if w[1] in kept]
+
+
 @pytest.mark.parametrize("x,y,inside", [
     (1.0, 1.0, True), (0.0, 2.0, True), (4.0, 4.0, True), (2.5, 2.5, False), (2.0, 2.5, True), (5.0, 1.0, False), (0.0, -0.1, False),
 ])

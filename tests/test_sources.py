@@ -38,6 +38,40 @@ def test_delimited_matches_columns_by_name(spark, tmp_path):
     assert rows(tagged, "shard", "code", "name") == [("b", "2", "y"), ("c", "3", None), ("d", "4", "z")]
 
 
+def test_headers_of_many_files_in_one_job(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for i in range(60):
+        cells = ["code", "name"] if i % 2 else ["name", "code"]
+        row = [f"c{i}", f"n{i}"] if i % 2 else [f"n{i}", f"c{i}"]
+        (folder / f"part {i:02d}.csv").write_text(",".join(cells) + "\n" + ",".join(row) + "\n")
+    (folder / "a%20b.csv").write_text("\n\ufeffcode,name\n".replace("\ufeff", "") + "c60,n60\n")
+    (folder / "x[1]{2}.csv").write_text('"code","name"\r\nc61,n61\r\n')
+    (folder / "bom.csv").write_bytes("\ufeffcode,name\nc62,n62\n".encode())
+    with gzip.open(folder / "packed.csv.gz", "wt") as out:
+        out.write("name,code\nn63,c63\n")
+    (folder / "empty.csv").write_text("")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        df = delimited.read_delimited(spark, str(folder))
+        jobs = len(tracker.getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs <= 4
+    assert sorted(tuple(r) for r in df.select("code", "name").collect()) == sorted((f"c{i}", f"n{i}") for i in range(64))
+
+
+def test_header_cells(spark, tmp_path):
+    f = tmp_path / "h.csv"
+    f.write_text("A;;a;\"x;y\"\n1;2;3;4\n")
+    found = delimited.headers(spark, [str(f)], sep=";")
+    assert found == [(str(f), ["A0", None, "a2", "x;y"])]
+    assert delimited.headers(spark, []) == []
+
+
 def test_repair_lines_keeps_lines_of_separators(spark, tmp_path):
     p = put(tmp_path / "s.csv", "broken\n1,x\n\n,\n2,y\n")
     assert rows(delimited.repair_lines(spark, p, ["id", "v"])) == [("1", "x"), ("2", "y"), (None, None)]
