@@ -483,7 +483,7 @@ def polygon_is_valid(geom: Column, depth: int = 3) -> Column:
         )
         return pairs | _misplaced(all_edges)
 
-    return rings_are_valid(multi_geom) & ~F.when(rings_are_valid(multi_geom), _let(numbered_edges(multi_geom), clash)).otherwise(True)
+    return F.when(rings_are_valid(multi_geom), ~_let(numbered_edges(multi_geom), clash)).otherwise(False)
 
 
 def lines_are_valid(geom: Column) -> Column:

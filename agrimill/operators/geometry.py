@@ -56,11 +56,13 @@ def flag_valid(df: DataFrame, shape: str, name: str = "valid", depth: int = 3, r
 
     Shapes of at most ``row_edges`` points are looked at within their row. Larger ones are taken apart: their edges meet
     in grid cells, by an equi-join, and only their verdicts, by a hash of the shape, come back. With ``row_edges`` None no
-    shape is taken apart and the input is read once instead of twice.
+    shape is taken apart. One job looks first whether there are large shapes at all; only then is the input read twice.
     """
     if row_edges is None:
         return df.withColumn(name, geo.polygon_is_valid(F.col(shape), depth))
     large = F.coalesce(geo.edge_count(F.col(shape), depth) > row_edges, F.lit(False))
+    if df.where(large).select(F.lit(1)).isEmpty():
+        return df.withColumn(name, geo.polygon_is_valid(F.col(shape), depth))
     keys = [spare_name(df, "_ha"), spare_name(df, "_hb")]
     small = df.where(~large).withColumn(name, geo.polygon_is_valid(F.col(shape), depth))
     hashed = df.where(large).withColumns({keys[0]: F.xxhash64(shape), keys[1]: F.xxhash64(F.lit(7), shape)})

@@ -23,8 +23,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def wide(self, name: str, *columns: str) -> DataFrame:
-        """Some columns of a table; how many splits the scan has is left to the session."""
-        return getattr(self, name).select(*columns)
+        """Some columns of a table; where the scan has fewer splits than there are cores, their rows are dealt over all cores.
+
+        For costly expressions on small files only: a table that fills the cores is not shuffled.
+        """
+        narrow = getattr(self, name).select(*columns)
+        cores = self.spark.sparkContext.defaultParallelism
+        splits = narrow._jdf.queryExecution().toRdd().getNumPartitions()
+        return narrow.repartition(cores) if splits < cores else narrow
 
 
 def query(sql: str | None = None):
