@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agrimill.session import configure
+from agrimill.session import configure, stored
 from agrimill.llm import chat as chats, fill_middle, host_rules, importance, lines, minhash, mixing, multi_index, nb_svm, packing, records, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,11 +150,21 @@ def op6_framed_records(spark, folder):
     return records.read_records(listed, keep_ids=False)
 
 
-@query()
+@query(r"""
+with payloads as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as h from pages),
+tops as (select body, max(page_id) as original from payloads group by body)
+select page_id, cast(strlen(body) as bigint) as payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((cast('0x' || substr(h, 5 * (i // 4) + 1, 5) as bigint) >> (15 - 5 * (i % 4))) & 31), 1)), 'string_agg', '') as payload_digest,
+  case when page_id = original then 'response' else 'revisit' end as record_type,
+  case when page_id <> original then original end as refers_to
+from payloads join tops using (body)
+""")
 def op8_warc_transactions(spark, folder):
     """Every page as a capture, read back from WARC archives and assembled."""
     rows = warc.with_revisits(table(spark, folder, "pages"), least=0)
-    captures = warc.originals(warc.assemble(warc.read_warc(warc.write_warc(rows), payload=False)))
+    # The archives are read once: what is kept of a record is its head.
+    heads = stored(warc.read_warc(warc.write_warc(rows), payload=False), "warc-heads")
+    captures = warc.originals(warc.assemble(heads))
     return captures.select(F.col("key").alias("page_id"), "response.payload_bytes", "response.payload_digest", "response.record_type", "refers_to")
 
 

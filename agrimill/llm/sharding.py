@@ -6,46 +6,81 @@ import heapq
 
 from pyspark.sql import DataFrame, functions as F
 
-from agrimill.llm.common import hash128, ranked, stored
+from agrimill.llm.common import hash128, ranked, slim, stored
 
-# Groups above total / (shards * FINE) are placed one by one, at most shards * FINE of them whatever the input.
+# Groups above total / (shards * FINE) are at most shards * FINE, whatever the input.
 FINE = 1000
-# All smaller groups are dealt by hash into so many bundles a shard, and bundles are placed as if they were groups.
-BUNDLES = 256
+# Other groups keep their exact size up to EXACT bytes. Above, which no group is below shards * FINE * EXACT bytes in all
+# (6 GB for 24 shards), they are taken by the mean of the groups that share their BITS first binary digits.
+EXACT, BITS = 1 << 18, 14
+# So many groups of one size are placed by counting rather than one after the other; the outcome is the same.
+BULK = 64
 
 
-def longest_first(sizes: list[tuple[int, int]], shards: int) -> dict[int, int]:
-    """Item -> shard for (size, item) pairs: largest first, each to the least loaded shard (lowest number on ties)."""
+def longest_first(histogram: dict[int, int], shards: int) -> dict[int, list[tuple[int, int]]]:
+    """Size -> (shard, how many of its groups) for sizes with their counts: largest first, each to the least loaded shard.
+
+    Equal loads go to the lowest number. A shard takes its k-th group of a size at the load it then has, so the groups of a
+    size go where the smallest of these loads are; many of them are placed at once by searching the load they fill up to.
+    The outcome equals placing the groups one by one through the heap, and the work follows the number of sizes.
+    """
     heap = [(0, s) for s in range(shards)]
     placed = {}
-    for size, item in sorted(sizes, key=lambda x: (-x[0], x[1])):
-        load, shard = heap[0]
-        heapq.heapreplace(heap, (load + size, shard))
-        placed[item] = shard
+    for size in sorted(histogram, reverse=True):
+        count, got = histogram[size], dict.fromkeys(range(shards), 0)
+        if count > BULK and size > 0:
+            # Groups that start below `low` are no more than `count`, those below `high` are more.
+            low, high = heap[0][0], heap[0][0] + count * size + 1
+            while high - low > 1:
+                level = (low + high) // 2
+                below = sum(-((load - level) // size) for load, _ in heap if load < level)
+                low, high = (level, high) if below <= count else (low, level)
+            for load, shard in heap:
+                got[shard] = -((load - low) // size) if load < low else 0
+            count -= sum(got.values())
+            heap = [(load + got[shard] * size, shard) for load, shard in heap]
+            heapq.heapify(heap)
+        for _ in range(count):
+            load, shard = heap[0]
+            heapq.heapreplace(heap, (load + size, shard))
+            got[shard] += 1
+        placed[size] = [(shard, n) for shard, n in got.items() if n]
     return placed
 
 
 def place_groups(rows: DataFrame, shards: int) -> DataFrame:
     """`rows` (with ga, gb: a 128-bit group key, and size) with column `shard`.
 
-    By pigeonhole no more than shards * FINE groups are above the threshold, so the list on the driver and the broadcast
-    plan have a bound that does not depend on the input; the other groups reach the driver only as BUNDLES * shards sums.
-    Shards differ by no more than the smallest item that moved: a bundle or a group. A group larger than a fair share
-    still stays whole, on a shard of its own.
+    The driver sees sizes with their counts, no groups: at most EXACT sizes, shards * FINE large ones, and 8,192 for each
+    doubling between. Groups take their place by their rank within their size, which is counted in runs dealt by hash, so
+    that a hot size is no single task. Rows of large groups, of which there are at most shards * FINE, meet their shard by
+    a broadcast; the rest by a shuffle join, in which no key is hot. A group larger than a fair share still stays whole.
     """
     spark = rows.sparkSession
-    n_bundles = shards * BUNDLES
+    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     groups = stored(rows.groupBy("ga", "gb").agg(F.sum("size").alias("size")), "groups")
     total = groups.agg(F.sum("size")).first()[0] or 0
-    bundle = F.pmod(F.xxhash64("ga", "gb"), F.lit(n_bundles)).cast("int")
-    large = F.col("size") * shards * FINE > total
-    big = groups.where(large).select("ga", "gb", "size").orderBy("ga", "gb").collect()
-    rest = groups.where(~large).groupBy(bundle.alias("b")).agg(F.sum("size").alias("size")).collect()
-    placed = longest_first([(r["size"], i) for i, r in enumerate(big)] + [(r["size"], len(big) + r["b"]) for r in rest], shards)
-    one = spark.createDataFrame([(r["ga"], r["gb"], placed[i]) for i, r in enumerate(big)], "ga long, gb long, _one int")
-    many = spark.createDataFrame([(r["b"], placed[len(big) + r["b"]]) for r in rest], "_b int, _many int")
-    out = rows.withColumn("_b", bundle).join(F.broadcast(one), ["ga", "gb"], "left").join(F.broadcast(many), "_b", "left")
-    return out.withColumn("shard", F.coalesce("_one", "_many")).drop("_b", "_one", "_many")
+    size = F.col("size")
+    large = size * shards * FINE > total
+    step = F.expr(f"shiftleft(1L, greatest(0, length(bin(size)) - {BITS}))")
+    groups = groups.withColumn("_large", large).withColumn("_class", F.when(large | (size <= EXACT), size).otherwise(size - size % step))
+    # The size first: classes of large groups and rounded ones do not meet, as they are cut at one size.
+    seen = groups.groupBy("_class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()
+    # A class counts as its mean, which keeps the order of classes and is the size itself where nothing is rounded.
+    placed = longest_first({r["size"] // r["n"]: r["n"] for r in seen}, shards)
+    plan = []
+    for r in seen:
+        took, ends = placed[r["size"] // r["n"]], []
+        for _, n in took:
+            ends.append((ends[-1] if ends else 0) + n)
+        plan.append((r["_class"], ends, [shard for shard, _ in took]))
+    table = slim(stored(spark.createDataFrame(plan, "_class long, _ends array<long>, _shards array<int>"), "plan"))
+    numbered = ranked(groups, ["_class"], F.xxhash64("ga", "gb"), [F.col("ga"), F.col("gb")], "_rank", parts)
+    at = F.size(F.filter("_ends", lambda end: end <= F.col("_rank")))
+    found = stored(numbered.join(table, "_class").select("ga", "gb", "_large", F.get("_shards", at).alias("shard")), "places")
+    big, rest = (found.where(side).drop("_large") for side in (F.col("_large"), ~F.col("_large")))
+    big = F.broadcast(big)
+    return rows.join(big, ["ga", "gb"]).unionByName(rows.join(big, ["ga", "gb"], "left_anti").join(rest, ["ga", "gb"]))
 
 
 def shard_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 24, overhead: int = 8) -> DataFrame:

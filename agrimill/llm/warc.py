@@ -41,15 +41,15 @@ def with_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", html
 
     Of equal payloads of at least `least` bytes the one with the largest key is the original, which is null here for it and
     for every payload below that size. Rows that share the largest key are all originals; so are rows without a key whose
-    payload no keyed row has; a null key is never the largest. Only digests are grouped, pre-aggregated for a hot payload.
+    payload no keyed row has; a null key is never the largest. Only digests are grouped, pre-aggregated for a hot payload,
+    and only those met more than once are joined back.
     """
     rows = pages.select(F.col(key).cast("long").alias("k"), F.col(url).cast("string").alias("u"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("sha", F.sha1(F.col("payload").cast("binary")))
-    slim = rows.where(F.octet_length("payload") >= least).select("sha", "k", "u").where("k is not null")
-    kept = slim.groupBy("sha").agg(F.max(F.struct("k", "u")).alias("top"), F.count(F.lit(1)).alias("n"))
-    # A payload met once needs no join; those met more often are few against all pages.
-    tops = kept.select("sha", F.col("top.k").alias("original"), F.col("top.u").alias("original_url"))
-    tops = stored(tops.where("original is not null"), "originals")
+    seen = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(F.max(F.struct("k", "u")).alias("top"), F.count(F.lit(1)).alias("n"))
+    # A payload met once needs no join; those met more often are few against all pages. A null key is below all others.
+    tops = seen.where("n > 1 and top.k is not null").select("sha", F.col("top.k").alias("original"), F.col("top.u").alias("original_url"))
+    tops = stored(tops, "originals")
     joined = rows.join(tops, "sha", "left")
     other = F.col("original").isNotNull() & ~F.col("k").eqNullSafe(F.col("original"))
     return joined.select("k", "u", "payload", "sha", F.when(other, F.col("original")).alias("original"), F.when(other, F.col("original_url")).alias("original_url"))
@@ -189,9 +189,15 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def originals(captures: DataFrame) -> DataFrame:
-    """Captures with `refers_to`: for a revisit the key of the response with the same payload digest, else null."""
-    key = F.col("metadata")["fields"]["key"].cast("long")
-    keyed = captures.withColumn("key", key)
-    responses = keyed.where(F.col("response.record_type") == "response").groupBy(F.col("response.payload_digest").alias("_d")).agg(F.max("key").alias("refers_to"))
+    """Captures with `refers_to`: for a revisit the key of the response with the same payload digest, else null.
+
+    Only digests that a revisit names are joined. Captures that are no revisit meet none of them; their join key is their
+    own record id, so that they are spread over all tasks and not gathered under a null.
+    """
+    keyed = captures.withColumn("key", F.col("metadata")["fields"]["key"].cast("long"))
     revisit = F.col("response.record_type") == "revisit"
-    return keyed.join(responses, F.when(revisit, F.col("response.payload_digest")) == F.col("_d"), "left").drop("_d")
+    named = keyed.groupBy(F.col("response.payload_digest").alias("_d")).agg(
+        F.max(F.when(~revisit, F.col("key"))).alias("refers_to"), F.bool_or(revisit).alias("_named")
+    )
+    meets = F.when(revisit, F.col("response.payload_digest")).otherwise(F.col("record_id"))
+    return keyed.join(named.where("_named").drop("_named"), meets == F.col("_d"), "left").drop("_d")
