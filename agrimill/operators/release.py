@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from agrimill.functions.geometry import within
 from agrimill.operators.aggregates import version_rank
-from agrimill.operators.keyed import first_wins
+from agrimill.operators.keyed import first_wins, number_rows
 from agrimill.operators.quality import checks
 from agrimill.specs import TableSpec
 
@@ -109,25 +114,29 @@ def strong_row_hash(df: DataFrame) -> Column:
 
 def content_hash(df: DataFrame) -> DataFrame:
     """One row ``n_rows``, ``checksum``: the same whatever the order or partitioning of rows."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(row_hash(df).cast("decimal(38,0)")), F.lit(0)).cast("string").alias("checksum"),
-    )
+    return df.agg(*_measures(df))
+
+
+def _measures(df: DataFrame) -> list[Column]:
+    total = F.coalesce(F.sum(row_hash(df).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return [F.count(F.lit(1)).alias("n_rows"), total.alias("checksum")]
 
 
 def manifest(tables: Mapping[str, DataFrame], version: str, specs: Sequence[TableSpec] = ()) -> DataFrame:
     """One row per table of a release: version, source, schema, row count, checksum."""
-    source_of = {s.name: s.source for s in specs}
     parts = [
-        content_hash(df).select(
-            F.lit(version).alias("version"), F.lit(source_of.get(name, CREDITS_SPEC.source)).alias("source"),
-            F.lit(name).alias("table_name"), F.lit(df.schema.simpleString()).alias("structure"), "n_rows", "checksum",
-        )
+        content_hash(df).select(*[F.lit(v).alias(k) for k, v in _entry(name, df, version, specs).items()], "n_rows", "checksum")
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _entry(name: str, df: DataFrame, version: str, specs: Sequence[TableSpec]) -> dict[str, str]:
+    """What a manifest says of a table before its rows are counted."""
+    source = {s.name: s.source for s in specs}.get(name, CREDITS_SPEC.source)
+    return {"version": version, "source": source, "table_name": name, "structure": df.schema.simpleString()}
+
+
 # ---- sinks --------------------------------------------------------------------
 
 
@@ -174,13 +183,17 @@ CSV_OPTIONS = {
 }
 
 
+# No file of a release has more rows, as compressed files are read back by one task each.
+ROWS_PER_FILE = 2_000_000
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """Gzip-compressed CSV without header, nested columns as JSON, one file per task.
+    """Gzip-compressed CSV without header, nested columns as JSON, files of at most ``ROWS_PER_FILE`` rows.
 
     A row is one line: backslash, CR and LF are written as ``\\b``, ``\\r``, ``\\n``, NULL as ``\\N``, and a text of
     blanks only has ``\\e`` before it, so that every text comes back as it was.
     """
-    _flat(df).write.mode("overwrite").options(**CSV_OPTIONS).option("compression", "gzip").csv(path)
+    _flat(df).write.mode("overwrite").options(**CSV_OPTIONS).option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE).csv(path)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -204,35 +217,48 @@ def json_array_lines(df: DataFrame, order_by: str) -> DataFrame:
     """Lines that, put together in order, are one JSON array of all rows.
 
     Each row becomes its own line with ``[``, ``,`` and ``]`` around it, so no
-    task ever holds the whole document. ``order_by`` must be unique.
+    task ever holds the whole document. Rows without a value in ``order_by``
+    come first, equal ones in any order; no rows give the one line ``[]``.
     """
+    return _array_lines(df, order_by).select(order_by, "line")
+
+
+def _array_lines(df: DataFrame, order_by: str) -> DataFrame:
+    """``order_by``, ``line``, ``_at``: the lines of a JSON array and their places. The table is computed once."""
     doc = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    # The two ends are one row each, matched by key.
-    low = df.agg(F.min(order_by).alias(order_by)).withColumn("_first", F.lit(True))
-    high = df.agg(F.max(order_by).alias(order_by)).withColumn("_last", F.lit(True))
-    marked = (
-        df.select(F.col(order_by), doc.alias("_doc"))
-        .join(F.broadcast(low), order_by, "left").join(F.broadcast(high), order_by, "left")
-    )
-    head = F.when(F.col("_first"), "[").otherwise(",")
-    tail = F.when(F.col("_last"), "]").otherwise("")
-    return marked.select(F.col(order_by), F.concat(head, "_doc", tail).alias("line"))
+    placed = number_rows(df.select(F.col(order_by), doc.alias("_doc")), "_at", [order_by], start=0)
+    last = placed.agg(F.max("_at")).first()[0]
+    if last is None:
+        return df.sparkSession.range(1).select(F.lit(None).cast(df.schema[order_by].dataType).alias(order_by), F.lit("[]").alias("line"), F.lit(0).cast("long").alias("_at"))
+    head = F.when(F.col("_at") == 0, "[").otherwise(",")
+    tail = F.when(F.col("_at") == last, "]").otherwise("")
+    return placed.select(F.col(order_by), F.concat(head, "_doc", tail).alias("line"), "_at")
 
 
 def export_json_array(df: DataFrame, path: str, order_by: str) -> None:
     """One JSON array over ordered part files; their concatenation is the document."""
-    json_array_lines(df, order_by).orderBy(order_by).select("line").write.mode("overwrite").text(path)
+    _array_lines(df, order_by).orderBy("_at").select("line").write.mode("overwrite").text(path)
 
 
 def write_release(
     tables: Mapping[str, DataFrame], specs: Sequence[TableSpec], flavor: Flavor, version: str, root: str
 ) -> str:
-    """Write a filtered release under ``root/version``: table files, then the manifest."""
+    """Write a filtered release under ``root/version``: table files, then the manifest.
+
+    Rows are counted and hashed in the job that writes them, so each table is
+    computed once. The measures stand above all shuffles, in the tasks that
+    write, which count once however often one is tried.
+    """
     chosen = select_release(tables, specs, flavor)
     base = f"{root}/{version}"
+    listed = []
     for name, df in chosen.items():
-        export_csv(df, f"{base}/data/{name}")
-    manifest(chosen, version, specs).coalesce(1).write.mode("errorifexists").json(f"{base}/manifest")
+        seen = Observation()
+        export_csv(df.observe(seen, *_measures(df)), f"{base}/data/{name}")
+        listed.append((*_entry(name, df, version, specs).values(), seen.get["n_rows"], seen.get["checksum"]))
+    schema = "version string, source string, table_name string, structure string, n_rows bigint, checksum string"
+    spark = next(iter(tables.values())).sparkSession
+    spark.createDataFrame(listed, schema).coalesce(1).write.mode("errorifexists").json(f"{base}/manifest")
     return base
 
 
@@ -294,19 +320,26 @@ def replace_credits(credits: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[TableSpec], root: str, others: Mapping[str, DataFrame] | None = None
+    spark: SparkSession, tables: Mapping[str, DataFrame], specs: Sequence[TableSpec], root: str, others: Mapping[str, DataFrame] | None = None,
+    since: int | None = None,
 ) -> DataFrame:
     """Replace a table set only if its keys and references hold.
 
     Tables are written to a staging copy of their own and checked as read back.
-    A good copy becomes current by one appended pointer row; a bad one is listed
+    A good copy becomes current by one new pointer file; a bad one is listed
     as an error and the previous copy stays current. Copies are never changed
     after they are written, so a lost job leaves the current one untouched.
 
     References are held both ways: the staged tables' own, and those of tables in
     ``others`` (with a spec in ``specs``) that point at a staged one. A reference
     to a table given nowhere counts as broken.
+
+    Each good copy is a generation of the root, made by a pointer file that only
+    one writer can create. A publisher that started from generation ``since`` (the
+    one found at the start, if not given) and finds a later one at the end raises
+    ``PublishConflict``: what its references were checked against may have changed.
     """
+    since = generation(spark, root) if since is None else since
     token = uuid.uuid4().hex
     by_name = {s.name: s for s in specs}
     staged: dict[str, DataFrame] = {}
@@ -321,19 +354,65 @@ def publish(
     report = checks(spark, {**(others or {}), **staged}, [*(s for s in specs if s.name in staged), *(s for s in inbound if s.fks)])
     failed = report.filter(~F.col("ok") & ~F.startswith("rule", F.lit("state:")))
     good = not failed.limit(1).collect()
-    pointer = spark.createDataFrame(
-        [(name, token, "ok" if good else "error") for name in staged], "table_name string, token string, status string"
-    ).withColumn("published_at", F.current_timestamp())
-    pointer.coalesce(1).write.mode("append").json(f"{root}/pointer")
+    said = {"token": token, "status": "ok" if good else "error", "published_at": datetime.now(timezone.utc).isoformat()}
+    if good:
+        said["generation"] = since + 1
+    lines = "".join(json.dumps({"table_name": name, **said}) + "\n" for name in staged)
+    if not _create_only(spark, f"{root}/pointer/{_GENERATION % (since + 1) if good else f'error-{token}.json'}", lines):
+        raise PublishConflict(f"{root}: generation {since + 1} was published meanwhile")
     return report
 
 
+class PublishConflict(Exception):
+    """Another publisher was first."""
+
+
+# Name of the pointer file of a generation.
+_GENERATION = "generation-%012d.json"
+
+
+def generation(spark: SparkSession, root: str) -> int:
+    """Number of good copies published under ``root``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/pointer")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return 0
+    found = [re.fullmatch(r"generation-(\d+)\.json", s.getPath().getName()) for s in store.listStatus(folder)]
+    return max((int(m[1]) for m in found if m), default=0)
+
+
+def _create_only(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one; of several writers at once, one alone succeeds."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() == "file":
+        # The local file system's own "create" looks first and writes then.
+        local = target.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            with open(local, "x", encoding="utf-8") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = store.create(target, False)
+    except Py4JJavaError:
+        if store.exists(target):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 def current(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
-    """The published copy of a table: the newest pointer row that passed its checks."""
-    pointers = spark.read.schema("table_name string, token string, status string, published_at timestamp").json(f"{root}/pointer")
+    """The published copy of a table: that of the latest generation that holds it."""
+    schema = "table_name string, token string, status string, published_at timestamp, generation long"
+    pointers = spark.read.schema(schema).json(f"{root}/pointer")
     newest = (
         pointers.filter((F.col("table_name") == spec.name) & (F.col("status") == "ok"))
-        .agg(F.max_by("token", "published_at").alias("token")).collect()[0]["token"]
+        .agg(F.max_by("token", F.struct(F.coalesce("generation", F.lit(0)), "published_at")).alias("token")).collect()[0]["token"]
     )
     if newest is None:
         raise ValueError(f"{spec.name}: nothing published under {root}")

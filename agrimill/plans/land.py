@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from agrimill.functions import dates, geometry as geo, lookups, text
 from agrimill.operators import geometry as ops, keyed
 from agrimill.operators.reshape import union_families
+from agrimill.session import stored
 from agrimill.specs import MULTIPOLYGON, POINT, POLYGON, TableSpec
 
 SALES = TableSpec(
@@ -105,7 +106,8 @@ def farm_parcels(raw: DataFrame, cities: DataFrame, cell: float = 0.05) -> DataF
         geo.reproject(geo.force2d(F.col("geom"), 3), 3, F.col("srid")).alias("shape"),
     )
     parts = ops.dump(flat, "shape").drop("part")
-    parts = parts.withColumn("centroid", geo.centroid_polygon(F.col("shape")))
+    # Reprojected and measured once; both the search for communes and the output read the stored parts.
+    parts = stored(parts.withColumn("centroid", geo.centroid_polygon(F.col("shape"))), "farm-parcels")
     towns = cities.select(F.col("nom_com").alias("city_name"), F.col("geom").alias("_town"))
     hits = ops.point_in_polygon_join(parts.select("id", "centroid"), towns, "centroid", "_town", cell=cell)
     named = hits.groupBy("id").agg(F.min("city_name").alias("city_name"))

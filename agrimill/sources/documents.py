@@ -49,20 +49,63 @@ def parse_features(df: DataFrame, col: str, properties: str = FEATURE_PROPERTIES
     return feature_rows(df.select(F.from_json(F.col(col), schema).alias("f")).select("f.*"), properties)
 
 
+# What ends a piece of a collection that is read in pieces: the value of every feature's ``type``.
+FEATURE_MARK = '"Feature"'
+
+
+def scan_features(spark: SparkSession, path: str | Sequence[str], properties: str = FEATURE_PROPERTIES) -> DataFrame:
+    """Features of collections of any size, read in pieces by many tasks: ``geometry`` as JSON text, ``properties``.
+
+    Files are cut at the ``"Feature"`` of each feature's type, so Spark splits them like lines of text and no task holds
+    a collection. The members of a feature stand either all after its type, where the parser stops at the feature's end,
+    or all before it; single values such as an id may stand on either side. Empty collections, and several collections
+    in one file, are read too. What cannot be read in pieces fails the load rather than losing a feature: geometry and
+    properties on two sides of the type, an inner value that is ``"Feature"``, a missing geometry or properties member
+    (null is a value), broken JSON, a property of another type than declared. ``read_geojson(whole=True)`` takes such
+    files.
+    """
+    schema = f"geometry string, properties struct<{_fields(properties)}>"
+    pieces = spark.read.option("lineSep", FEATURE_MARK).text(path)
+    piece = F.col("value")
+    # Members after the type: the piece goes on with a comma and ends where the next feature's type is due, or the file.
+    follows = piece.rlike(r"^\s*,")
+    ends_well = piece.rlike(r"\{[^{}]*\"type\"\s*:\s*$") | piece.rlike(r"\}\s*$")
+    # Members before the type: they fill the end of the piece before, behind the feature closed there or the list's start.
+    head = F.regexp_extract(piece, r"^\s*(?:\}\s*,\s*|(?:\}\s*\][\s\S]*?)?\{[\s\S]*?\"features\"\s*:\s*\[\s*)(\{[\s\S]*\"type\"\s*:\s*)$", 1)
+    nothing = piece.rlike(r"^\s*(\}\s*\]|\{[\s\S]*\"features\"\s*:\s*\[\s*\])") | piece.rlike(r"^\s*$")
+    text = (
+        F.when(follows & ends_well, F.concat(F.lit('{"type":' + FEATURE_MARK), piece))
+        .when(~follows & (head != ""), F.concat(head, F.lit("0}")))
+        .when(~follows & nothing, F.lit(None))
+        .otherwise(F.raise_error(F.concat(F.lit("not a feature collection that can be read in pieces: "), F.substring(piece, 1, 200))))
+    )
+    parsed = pieces.select(follows.alias("_follows"), text.alias("_text")).where("_text is not null")
+    parsed = parsed.withColumn("_f", F.from_json("_text", schema, {"mode": "FAILFAST"}))
+    lacking = F.col("_f.geometry").isNull() | F.col("_f.properties").isNull()
+    names = F.map_keys(F.from_json("_text", "map<string,string>", {"mode": "FAILFAST"}))
+    here = F.array_contains(names, "geometry").cast("int") + F.array_contains(names, "properties").cast("int")
+    # Before a type there may be no members, when they come after it; else a feature has both members on one side.
+    there = F.when(lacking, here).otherwise(2)
+    state = F.when(there == 2, True).when((there == 0) & ~F.col("_follows"), False)
+    state = F.coalesce(state, F.raise_error(F.concat(F.lit("feature without geometry or properties on one side of its type: "), F.substring("_text", 1, 200))))
+    return parsed.where(state).select("_f.geometry", "_f.properties")
+
+
 def read_geojson(
-    spark: SparkSession, path: str | Sequence[str], properties: str = FEATURE_PROPERTIES, by_line: bool = False
+    spark: SparkSession, path: str | Sequence[str], properties: str = FEATURE_PROPERTIES, by_line: bool = False, whole: bool = False
 ) -> DataFrame:
-    """Feature collections; ``by_line`` reads one feature per line and splits large files.
+    """Feature collections, read in pieces (see ``scan_features``); ``by_line`` reads one feature per line.
 
-    A whole collection in one document is one task per file, so large inputs
-    should be landed as lines.
+    With ``whole`` a collection is parsed as one document in one task, whatever the order of its members.
     """
     feature = f"geometry string, properties struct<{_fields(properties)}>"
     if by_line:
         return feature_rows(spark.read.schema(feature).json(path), properties)
+    if not whole:
+        return feature_rows(scan_features(spark, path, properties), properties)
     schema = f"features array<struct<geometry:string,properties:struct<{_fields(properties)}>>>"
-    whole = spark.read.schema(schema).option("multiLine", True).json(path)
-    return feature_rows(whole.select(F.explode("features").alias("f")).select("f.*"), properties)
+    document = spark.read.schema(schema).option("multiLine", True).json(path)
+    return feature_rows(document.select(F.explode("features").alias("f")).select("f.*"), properties)
 
 
 MARKET_PAYLOAD = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -27,7 +28,7 @@ def union_tables(shards: Mapping[str, DataFrame], key: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def file_listing(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def file_listing(spark: SparkSession, path: str | Sequence[str], pattern: str | None = None) -> DataFrame:
     """Files with size, time and SHA-256 of their content, hashed where they are read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
@@ -38,6 +39,49 @@ def file_listing(spark: SparkSession, path: str, pattern: str | None = None) ->
     )
 
 
+# Files above this size are hashed by lines, as one value of a table cannot hold them.
+WHOLE_FILE = 1 << 30
+
+
+def collect_new(
+    spark: SparkSession, path: str, manifest: DataFrame, pattern: str | None = None, whole_file: int = WHOLE_FILE
+) -> DataFrame:
+    """Files to collect: path, size, modified and hash of those that neither stamp nor content shows as collected.
+
+    Files the manifest knows by path, size and time are never opened. Of the others those up to ``whole_file`` bytes are
+    hashed in one piece; larger ones are read in splits by many tasks, and their hash is made of the count and two sums
+    of hashes of their lines, whose order it does not see. Only the names of files with a new stamp come to the driver.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    stamps = reader.load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    known = manifest.select("path", "size", "modified")
+    fresh = stamps.join(known, ["path", "size", "modified"], "left_anti").collect()
+    hashed = []
+    small = [_literal(r["path"]) for r in fresh if r["size"] <= whole_file]
+    if small:
+        hashed.append(file_listing(spark, small))
+    large = [r for r in fresh if r["size"] > whole_file]
+    if large:
+        # The scan names files in their encoded form.
+        encoded = [(spark._jvm.org.apache.hadoop.fs.Path(r["path"]).toUri().toString(), *r) for r in large]
+        listed = spark.createDataFrame(encoded, "_file string, path string, size long, modified timestamp")
+        lines = spark.read.option("lineSep", "\n").text([_literal(r["path"]) for r in large])
+        sums = [F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(38,0)")) for seed in (1, 2)]
+        digest = F.sha2(F.concat_ws(",", F.count(F.lit(1)), *sums), 256)
+        by_file = lines.groupBy(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("_file")).agg(digest.alias("sha256"))
+        hashed.append(listed.join(by_file, "_file", "left").drop("_file"))
+    if not hashed:
+        return file_listing(spark, path, pattern).limit(0)
+    return new_files(reduce(DataFrame.unionByName, hashed), manifest)
+
+
+def _literal(path: str) -> str:
+    """A path whose special characters stand for themselves where patterns are read."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files not collected before: the key is unknown, or size, time and hash all moved on.
 

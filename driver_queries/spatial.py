@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from agrimill.functions import geometry as geo
 from agrimill.operators import geometry as ops
+from agrimill.session import shared_path
 from driver_queries.registry import Tables, query
 
 
@@ -251,6 +252,32 @@ def q_features(t: Tables):
     return out.select("id", "section", "contenance", F.col("centroid.x").alias("cx"), F.col("centroid.y").alias("cy"))
 
 
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_nationkey < 5 THEN '0' ELSE c_mktsegment END AS section, CAST(c_nationkey AS DOUBLE) AS contenance,
+  '[[[' || c_nationkey || '.0,1.0],[3.0,4.0]]]' AS corners FROM customer
+""")
+def q_feature_files(t: Tables):
+    """GeoJSON files of collections of up to 500 features, members after or before the type, read in pieces."""
+    props = F.to_json(F.struct(
+        F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_nationkey") >= 5, F.col("c_mktsegment")).alias("section"),
+        F.col("c_nationkey").alias("contenance"),
+    ))
+    ring = F.concat(F.lit("[[["), F.col("c_nationkey").cast("string"), F.lit(".0,1.0],[3.0, 4.0]]]"))
+    members = F.concat(F.lit('"geometry": {"type": "Polygon", "coordinates": '), ring, F.lit('}, "properties": '), props)
+    late = F.col("c_custkey") % 1000 < 500
+    feature = F.concat(F.lit("{"), F.when(late, F.concat(members, F.lit(', "type": "Feature"'))).otherwise(F.concat(F.lit('"type": "Feature", '), members)), F.lit("}"))
+    # Keys are unique, so a collection is bounded.
+    group = F.floor(F.col("c_custkey") / 500)
+    listed = t.customer.groupBy(late.alias("late"), group.alias("g")).agg(F.array_join(F.collect_list(feature), ",\n").alias("all"))
+    folder = shared_path(t.spark, "features")
+    document = F.concat(F.lit('{"type": "FeatureCollection",\n"features": [\n'), F.col("all"), F.lit("\n]}"))
+    listed.select("late", document.alias("value")).write.partitionBy("late").text(folder)
+    from agrimill.sources.documents import read_geojson
+
+    corners = F.to_json(F.transform(F.get(F.col("shape"), F.lit(0)), lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"]))))
+    return read_geojson(t.spark, folder).select("id", "section", "contenance", corners.alias("corners"))
+
+
 @query("""
 SELECT p_partkey, CASE WHEN p_type = 'SMALL' THEN 2 ELSE 1 END AS n_parts, CAST(p_size AS DOUBLE) + CASE WHEN p_type = 'SMALL' THEN 3.5 ELSE 1.5 END AS cx, 2154 AS srid FROM part
 """)

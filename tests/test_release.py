@@ -1,6 +1,7 @@
 """Release, manifest, reload, publish."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +132,40 @@ def test_json_array_is_one_document(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "b")).count() == 25
 
 
+def test_json_array_of_no_rows_null_and_equal_keys(spark, tmp_path):
+    for name, values in (("none", []), ("odd", [None, 3, None, 1, 3]), ("one", [None])):
+        df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "id int, v int")
+        release.export_json_array(df.repartition(3), str(tmp_path / name), "id")
+        doc = json.loads("".join(p.read_text() for p in sorted((tmp_path / name).glob("part-*"))))
+        assert [d["id"] for d in doc] == sorted(values, key=lambda v: (v is not None, v or 0)) and sorted(d["v"] for d in doc) == list(range(len(values)))
+
+
+def test_release_of_empty_tables(spark, tables, tmp_path):
+    none = {name: df.limit(0) for name, df in tables.items()} | {"zone": spark.createDataFrame([], ZONE.schema)}
+    base = release.write_release(none, SPECS, release.Flavor("full", order_by={"sale": ("id",)}), "1.0.0", str(tmp_path))
+    assert {n: df.count() for n, df in release.load_release(spark, base).items()} == dict.fromkeys(none, 0)
+
+
+def test_of_two_publishers_from_one_generation_one_wins(spark, tables, tmp_path):
+    root = str(tmp_path / "two")
+    assert release.generation(spark, root) == 0
+    copies = [{"zone": ZONE.align(tables["zone"].filter(f"id <= {n}"))} for n in (1, 2, 3)]
+
+    def run(copy):
+        try:
+            release.publish(spark, copy, [ZONE], root, since=0)
+            return copy["zone"].count()
+        except release.PublishConflict:
+            return None
+
+    with ThreadPoolExecutor(3) as pool:
+        won = [n for n in pool.map(run, copies) if n]
+    assert len(won) == 1 and release.generation(spark, root) == 1 and release.current(spark, ZONE, root).count() == won[0]
+    assert run(copies[1]) is None
+    release.publish(spark, copies[1], [ZONE], root)
+    assert release.generation(spark, root) == 2 and release.current(spark, ZONE, root).count() == 2
+
+
 def test_append_into_fills_missing_columns(spark, tmp_path):
     path = str(tmp_path / "t")
     release.append_into(spark.createDataFrame([(1, 2)], "id int, zone int"), SALE, path)

@@ -1,7 +1,9 @@
 """Readers over files written by the test."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from agrimill.operators import geometry as ops
@@ -118,6 +120,42 @@ def test_geojson_document_and_lines(spark, tmp_path):
     assert rows(c) == [(1.0, 1.0)]
 
 
+def test_geojson_in_pieces(spark, tmp_path):
+    sq = [list(map(list, ring(0.0, 0.0, 2.0, 2.0)))]
+    geom = {"type": "Polygon", "coordinates": sq}
+    first = [feature(f"a{i}", geom, section='}, {"x": [', commune='say \\"Feature\\"') for i in range(300)] + [feature("null", None)]
+    last = [{"id": 1, "geometry": geom, "properties": {"id": f"b{i}", "commune": None}, "type": "Feature"} for i in range(300)]
+    head = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "x"}}}
+    put(tmp_path / "in" / "first.json", json.dumps(head | {"features": first}, indent=1) + "\n")
+    put(tmp_path / "in" / "last.json", json.dumps({"features": last, "type": "FeatureCollection"}, separators=(",", ":")))
+    put(tmp_path / "in" / "none.json", json.dumps(head | {"features": []}))
+    put(tmp_path / "in" / "two.json", "\n".join(json.dumps(head | {"features": [feature(f"c{i}", geom)]}) for i in range(2)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    try:
+        got = documents.read_geojson(spark, str(tmp_path / "in"))
+        assert got.rdd.getNumPartitions() > 20
+        assert sorted(r["id"] for r in got.collect()) == sorted([f["properties"]["id"] for f in first + last] + ["c0", "c1"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    columns = ["id", "commune", "section", "contenance", F.to_json("shape").alias("shape")]
+    for name in ("first", "last", "none"):
+        path = str(tmp_path / "in" / f"{name}.json")
+        assert rows(documents.read_geojson(spark, path), *columns) == rows(documents.read_geojson(spark, path, whole=True), *columns), name
+
+
+@pytest.mark.parametrize("bad", [
+    {"geometry": None, "type": "Feature", "properties": {"id": "x"}}, {"properties": {"id": "x"}, "type": "Feature", "geometry": None},
+    {"type": "Feature", "geometry": None, "properties": {"commune": "Feature"}}, {"type": "Feature", "geometry": None, "properties": {"type": "Feature"}},
+    {"type": "Feature", "properties": {"id": "x"}}, {"geometry": {"type": "Point"}, "properties": {"id": "x"}, "type": "Feature"},
+])
+def test_geojson_that_pieces_would_spoil_fails(spark, tmp_path, bad):
+    good = feature("good", None)
+    path = put(tmp_path / "f.json", json.dumps({"type": "FeatureCollection", "features": [good, bad, good]}))
+    with pytest.raises(Exception, match="pieces|one side|Malformed|MALFORMED"):
+        documents.scan_features(spark, path).collect()
+
+
 def test_market_payload_files(spark, tmp_path):
     item = {"memberStateCode": "FR", "beginDate": "01/02/2020", "price": "€1.5", "marketName": "A"}
     put(tmp_path / "BLTPAN.json", json.dumps([item, item]))
@@ -179,6 +217,33 @@ def test_new_files_by_hash_or_stamp(spark, tmp_path):
     assert shards.new_files(first.filter("path like '%a.csv'"), moved).count() == 0
 
 
+def test_collect_opens_only_files_with_a_new_stamp(spark, tmp_path):
+    folder = tmp_path / "in %20 [x]"
+    for i in range(4):
+        put(folder / f"{i}.csv", f"{i}\n" * 50)
+    none = spark.createDataFrame([], "path string, size long, modified timestamp, sha256 string")
+
+    def names(df):
+        return sorted(r["path"].rsplit("/", 1)[1] for r in df.collect())
+
+    base = str(folder).replace("[", "\\[").replace("]", "\\]")
+    for limit in (1 << 30, 10):
+        first = shards.collect_new(spark, base, none, whole_file=limit)
+        assert names(first) == ["0.csv", "1.csv", "2.csv", "3.csv"]
+        assert {r["sha256"] for r in first.collect()} != {None} and first.select("sha256").distinct().count() == 4
+        seen = spark.createDataFrame(first.collect(), first.schema)
+        os.chmod(folder / "0.csv", 0)
+        assert names(shards.collect_new(spark, base, seen, whole_file=limit)) == []
+        os.chmod(folder / "0.csv", 0o644)
+        os.utime(folder / "1.csv", (1, 1))
+        put(folder / "2.csv", f"{limit}\n")
+        put(folder / "new.csv", "1\n" * 50)
+        assert names(shards.collect_new(spark, base, seen, whole_file=limit)) == ["2.csv", "new.csv"]
+        (folder / "new.csv").unlink()
+        put(folder / "2.csv", "2\n" * 50)
+    assert names(shards.collect_new(spark, base, none, pattern="3*")) == ["3.csv"]
+
+
 def test_stream_takes_only_new_shards(spark, tmp_path):
     src, out, state = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "state")
     put(src / "H_17.csv", "a;b\n1;x\n")
