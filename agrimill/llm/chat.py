@@ -92,3 +92,29 @@ def turns_as_events(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
     picked = rows.select(F.col(conv).alias("conv_id"), F.col(turn).alias("_turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     place = F.row_number().over(W.partitionBy("conv_id").orderBy("_turn", "role", "text")).cast("long")
     return picked.withColumn("message", place).select("conv_id", F.col("message").alias("seq"), "message", F.lit("delta").alias("kind"), "role", "text")
+
+
+def turns_as_log(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """A table of whole turns as the log of a service that streams, edits and regenerates; it folds to the same messages.
+
+    The CRC of conversation and message number, which a lost task computes again, decides what a message goes through:
+    - two halves, streamed;
+    - a draft, an edit that replaces it by the first half, and the second half;
+    - a draft, a reply to it under the next number, a regeneration with the first half, and the second half.
+    """
+    whole = turns_as_events(rows, conv, turn, role, text).withColumn("text", F.coalesce("text", F.lit("")))
+    half = F.floor(F.length("text") / 2).cast("int")
+    first, second = F.substr("text", F.lit(1), half), F.substr("text", half + 1)
+    way = F.pmod(F.crc32(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("message").cast("string")).cast("binary")), F.lit(3))
+
+    def event(step: int, kind: str, words: Column, ahead: int = 0) -> Column:
+        return F.struct(
+            (F.col("seq") * 4 + step).alias("seq"), (F.col("message") + ahead).alias("message"), F.lit(kind).alias("kind"), "role", words.alias("text"),
+        )
+
+    draft = event(0, "delta", F.reverse(first))
+    streamed = F.array(event(0, "delta", first), event(1, "delta", second))
+    edited = F.array(draft, event(1, "edit", first), event(2, "delta", second))
+    regenerated = F.array(draft, event(1, "delta", F.lit("a reply to the draft"), 1), event(2, "regenerate", first), event(3, "delta", second))
+    steps = F.when(way == 0, streamed).when(way == 1, edited).otherwise(regenerated)
+    return whole.select("conv_id", F.explode(steps).alias("_event")).select("conv_id", "_event.*")

@@ -56,10 +56,10 @@ select conv_id, count(*) as n_turns,
 from safe group by conv_id
 """)
 def op4_chat_events(spark, folder):
-    """All conversations and one that tries to forge marks, read back from the rendered text and its loss mask."""
+    """All conversations and one that tries to forge marks, as a log with chunks, edits and regenerations; read back from the rendered text and its loss mask."""
     forged = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(forged)
-    done = chats.chat(chats.turns_as_events(rows)).withColumn("turns", chats.parse(F.col("formatted"))).withColumn("learned", chats.learned(F.col("formatted"), F.col("loss")))
+    done = chats.chat(chats.turns_as_log(rows)).withColumn("turns", chats.parse(F.col("formatted"))).withColumn("learned", chats.learned(F.col("formatted"), F.col("loss")))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return done.select(
         "conv_id",

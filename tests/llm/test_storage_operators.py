@@ -232,3 +232,16 @@ def test_pairs_come_in_order():
     got = list(multi_index.pairs_by_distance(a, b))
     sums = [a[i] + b[j] for i, j in got]
     assert len(set(got)) == 81 and all(x <= y for x, y in zip(sums, sums[1:]))
+
+
+def test_log_of_turns_folds_to_the_turns(spark):
+    """Every way through the log ends in the same messages: nulls, empty texts, repeated rows and ties included."""
+    turns = [(c, t, r, x) for c in range(40) for t, r, x in ((0, "user", "héllo 🙂 wörld"), (1, "assistant", ""), (2, None, None), (2, "user", "same"), (2, "user", "same"), (3, "assistant", "z"))]
+    turns += [(None, 0, "user", "no key"), (None, None, "assistant", "abc")]
+    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    log = chat.turns_as_log(df)
+    assert {r[0] for r in log.select("kind").distinct().collect()} == {"delta", "edit", "regenerate"}
+    want = sorted(map(repr, chat.fold(chat.turns_as_events(df)).select("conv_id", "message", "role", "text").collect()))
+    got = sorted(map(repr, chat.fold(log.repartition(7)).select("conv_id", "message", "role", "text").collect()))
+    assert got == want
+    assert chat.turns_as_log(df.limit(0)).count() == 0
