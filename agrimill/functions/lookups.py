@@ -64,6 +64,9 @@ ACTIVITY_CODES = (
     "01.70Z", "02.10Z", "02.20Z", "02.30Z", "02.40Z", "03.11Z", "03.12Z", "03.21Z", "03.22Z",
 )
 
+# The same list with the code that the one above misspells.
+ACTIVITY_CODES_MENDED = tuple("01.25Z" if code == "01.5Z" else code for code in ACTIVITY_CODES)
+
 # Dose unit label: canonical unit and factor.
 DOSE_UNITS = {
     "%": ("percent", 1.0),

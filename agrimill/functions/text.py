@@ -5,13 +5,28 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
-# Accented letters and the plain letters they become in a name.
-ACCENTED = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿÀÂÄÁÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
-LIGATURES = str.maketrans({"œ": "oe", "æ": "ae", "Œ": "OE", "Æ": "AE", "ß": "ss"})
+# Letters that no decomposition takes apart, and what they become in a name.
+LIGATURES = {"œ": "oe", "æ": "ae", "Œ": "OE", "Æ": "AE", "ß": "ss"}
+COMBINING = "[\u0300-\u036f]"
+
+
+@lru_cache(maxsize=1)
+def plain_letters() -> dict[str, str]:
+    """What stands for a character in a name: its compatibility form without marks, where that is ASCII.
+
+    Forms of several letters count for Latin letters only (``Ǆ``, ``ﬁ``).
+    """
+    out = dict(LIGATURES)
+    for code in range(0x80, 0x10000):
+        char = chr(code)
+        form = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        if form.isascii() and (len(form) == 1 or len(form) > 1 and char.isalpha() and (code < 0x250 or 0xFB00 <= code <= 0xFB06)):
+            out[char] = form
+    return out
 
 
 def join_skip_null(*cols: Column | str) -> Column:
@@ -49,8 +64,15 @@ def slug_with_id(ident: Column, name: Column) -> Column:
 
 
 def snake(col: Column) -> Column:
-    """Column-name rule applied to a value: plain letters, snake case, ``_`` between words."""
-    out = F.translate(col, ACCENTED, PLAIN)
+    """Column-name rule applied to a value: plain letters, snake case, ``_`` between words.
+
+    Same names as ``snake_name``. A letter that has no plain form counts as a gap between words.
+    """
+    plain = plain_letters()
+    single = {c: p for c, p in plain.items() if len(p) == 1}
+    longer = {c: p for c, p in plain.items() if len(p) > 1}
+    out = F.translate(F.regexp_replace(col, COMBINING, ""), "".join(single), "".join(single.values()))
+    out = F.when(out.rlike(f"[{''.join(longer)}]"), replace_all(out, longer.items())).otherwise(out)
     out = F.regexp_replace(out, "([A-Z0-9]+)([A-Z][a-z])", "$1_$2")
     out = F.lower(F.regexp_replace(out, "([a-z0-9])([A-Z])", "$1_$2"))
     out = F.regexp_replace(out, "[^a-z0-9]+", "_")
@@ -59,9 +81,8 @@ def snake(col: Column) -> Column:
 
 
 def snake_name(name: str) -> str:
-    """The same rule for one header cell (headers are read on the driver)."""
-    plain = unicodedata.normalize("NFKD", name.translate(LIGATURES))
-    plain = "".join(c if ord(c) < 128 else "?" for c in plain if not unicodedata.combining(c))
+    """The same rule for one header cell (header lines reach the driver as names, not as rows)."""
+    plain = re.sub(COMBINING, "", name).translate(str.maketrans(plain_letters()))
     plain = re.sub("([A-Z0-9]+)([A-Z][a-z])", r"\1_\2", plain)
     plain = re.sub("([a-z0-9])([A-Z])", r"\1_\2", plain).lower()
     plain = re.sub("(^_|_$)", "", re.sub("[^a-z0-9]+", "_", plain))

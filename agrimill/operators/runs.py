@@ -7,27 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def _with_previous(df: DataFrame, keys: list[str], at: str, value: str, width: int, levels: int) -> DataFrame:
+    """Adds ``_prev``, the value of the row before in the order of ``at``; NULL where there is none.
+
+    Rows look back inside blocks of ``width`` numbers. What the block before ends with is found the same way in a
+    table of one row per block, ``levels`` times over, so a task holds ``width`` rows whatever the group's size.
+    """
+    if levels == 0:
+        return df.withColumn("_prev", F.lag(value).over(Window.partitionBy(*keys).orderBy(at)))
+    block = f"_block{levels}"
+    tagged = df.withColumn(block, F.floor(F.col(at) / width))
+    ends = tagged.groupBy(*keys, block).agg(F.max_by(value, at).alias(value))
+    carried = _with_previous(ends, keys, block, value, width, levels - 1).select(
+        *keys, block, F.col("_prev").alias(value), F.lit(0).alias("_real")
+    )
+    # The carried value goes in front of its block as a row of its own, so no join is needed.
+    lines = tagged.withColumn("_real", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, block).orderBy("_real", at)
+    return lines.withColumn("_prev", F.lag(value).over(inside)).filter(F.col("_real") == 1).drop(block, "_real")
+
+
 def run_heads(
-    df: DataFrame, group: Sequence[str], row: str, footprint: Column, chunk: int = 100_000
+    df: DataFrame, group: Sequence[str], row: str, footprint: Column, chunk: int = 100_000, levels: int = 2
 ) -> DataFrame:
     """Lines whose footprint differs from the line before in the same group.
 
-    The look-back runs inside chunks of ``chunk`` row numbers, so one huge group
-    is spread over many tasks; the first line of a chunk is compared with the
-    last line of the chunk before, taken from a summary of one row per chunk.
+    One huge group is spread over many tasks of ``chunk`` row numbers each; with the two levels given, the one window
+    that spans a group sees a row per ``chunk`` squared row numbers.
     """
-    keys = list(group)
-    tagged = df.withColumn("_foot", footprint).withColumn("_chunk", F.floor(F.col(row) / chunk))
-    ends = tagged.groupBy(*keys, "_chunk").agg(F.max_by(F.struct("_foot"), F.col(row)).alias("_end"))
-    carried = ends.select(
-        *keys, "_chunk", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_seen"), F.lit(0).alias("_real")
-    )
-    # The carried line goes in front of its chunk as a row of its own, so no join is needed.
-    lines = tagged.withColumns({"_seen": F.struct("_foot"), "_real": F.lit(1)}).unionByName(carried, allowMissingColumns=True)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", row)
-    looked = lines.withColumn("_prev", F.lag("_seen").over(inside))
-    head = F.col("_prev").isNull() | ~F.col("_prev._foot").eqNullSafe(F.col("_foot"))
-    return looked.filter((F.col("_real") == 1) & head).select(*df.columns)
+    looked = _with_previous(df.withColumn("_foot", F.struct(footprint.alias("v"))), list(group), row, "_foot", chunk, levels)
+    head = F.col("_prev").isNull() | ~F.col("_prev.v").eqNullSafe(F.col("_foot.v"))
+    return looked.filter(head).select(*df.columns)
 
 
 def sheet_rows(cells: DataFrame, columns: Sequence[str], group: Sequence[str] = ("sheet",)) -> DataFrame:

@@ -52,6 +52,8 @@ def market_prices(payload: DataFrame, extended_key: bool = False, thousands: boo
 def enterprises(raw: DataFrame, codes: Sequence[str] = lookups.ACTIVITY_CODES, spaced_address: bool = False) -> DataFrame:
     """Establishments with a farming activity, located from Lambert-93 coordinates.
 
+    The default ``codes`` misspell 01.25Z and so miss its establishments; ``lookups.ACTIVITY_CODES_MENDED`` has them.
+
     ``spaced_address`` joins the address parts that say something by a space and
     leaves NULL if none does; otherwise all parts are run together.
     """

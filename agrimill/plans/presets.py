@@ -71,4 +71,5 @@ PARCELS_ONLY = Flavor(
     ),
     filters={"registered_graphic_parcels": ((-0.87374, 43.55297, 4.0),)},
 )
-PRESETS = {f.name: f for f in (FULL, LIGHT, TEST, SEVEN, GIRONDE, LANDES, SOUTH_WEST, PARCELS_ONLY)}
+VINES = Flavor("vines")  # the only source it leaves out is none of the tables here
+PRESETS = {f.name: f for f in (FULL, VINES, LIGHT, TEST, SEVEN, GIRONDE, LANDES, SOUTH_WEST, PARCELS_ONLY)}

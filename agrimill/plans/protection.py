@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DayTimeIntervalType, MapType
 
 from agrimill.functions import dates, labels, lookups, numbers, phrases, text
 from agrimill.operators import aggregates, joins, keyed
+from agrimill.session import stored
 from agrimill.specs import LABEL, TableSpec
 
 CROPSETS = TableSpec(
@@ -283,6 +286,43 @@ def with_checksum(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumn("record_checksum", numbers.md5_prefix_int(*cols))
 
 
+# Inputs of a load besides the catalogue itself.
+LOAD_INPUTS = ("usages", "parallel_trade", "cropsets", "varieties", "exceptions", "symbols", "target_links")
+
+
+def load(catalogue: DataFrame, raw: Mapping[str, DataFrame], store: bool = True) -> dict[str, DataFrame]:
+    """All plant-protection tables, by table name, from a parsed catalogue and the files around it.
+
+    ``raw`` holds what is there of LOAD_INPUTS: the delimited extract of the usages, parallel-trade permits, crop sets,
+    nomenclature varieties (``name``, ``label``), species exceptions (``crop_label``, ``species``), hazard symbols and
+    target links. A missing file leaves its step out, and its own table; without crop sets, varieties and exceptions
+    alike, every species is the default. Four tables carry a row checksum, taken last. The catalogue feeds three
+    tables: it is parsed once and written to the shared folder unless ``store`` is off.
+    """
+    unknown = sorted(set(raw) - set(LOAD_INPUTS))
+    if unknown:
+        raise ValueError(f"unknown inputs {unknown}")
+    records = stored(catalogue, "catalogue") if store else catalogue
+    product_rows, usage_rows = products(records), usages(records)
+    if "usages" in raw:
+        usage_rows = with_frequency(usage_rows, raw["usages"])
+    if "parallel_trade" in raw:
+        product_rows = with_permits(product_rows, permits(raw["parallel_trade"]))
+    tables = {}
+    if "cropsets" in raw:
+        tables[CROPSETS.name] = cropsets(raw["cropsets"])
+    if {"cropsets", "varieties", "exceptions"} & set(raw):
+        none = records.sparkSession.createDataFrame([], f"name string, label {LABEL}, crop_label string, species string")
+        usage_rows = with_species(usage_rows, tables.get(CROPSETS.name, none), raw.get("varieties", none), raw.get("exceptions", none))
+    tables |= {PRODUCTS.name: product_rows, USAGES.name: with_spray_volume(usage_rows), RISKS.name: risks(records)}
+    tables = {spec.name: spec.align(with_checksum(tables[spec.name], spec)) for spec in (CROPSETS, PRODUCTS, USAGES, RISKS) if spec.name in tables}
+    if "symbols" in raw:
+        tables[SYMBOLS.name] = symbols(raw["symbols"])
+    if "target_links" in raw:
+        tables[TARGET_LINKS.name] = target_links(raw["target_links"])
+    return tables
+
+
 def legacy_mix_categories(phrase_rows: DataFrame, risk_rows: DataFrame) -> DataFrame:
     """Mix category per product from two code tables (``product_id``, ``code``)."""
     return aggregates.legacy_mix_category(phrase_rows, risk_rows, "product_id", "code")

@@ -637,7 +637,7 @@ def catalogue(t: Tables):
         F.when(c("p_size") > 40, "Mention abeille").otherwise("autre"), F.lit("</ref></mentions-autorisees><classement-CLP><phrases-risque><ref lib-court=\"H"),
         F.when(c("p_size") % 3 == 0, "317").when(c("p_size") % 3 == 1, "361d").otherwise("999"),
         F.lit('">x</ref></phrases-risque></classement-CLP><classement-DSD><phrases-risque><ref lib-court="R36">y</ref><ref lib-court="Xi">z</ref></phrases-risque></classement-DSD><usages>'),
-        usage, F.lit("</usages></PPP>"),
+        usage, F.lit("</usages><type-produit>PPP</type-produit></PPP>"),
     )
     records = t.wide("part", "p_partkey", "p_brand", "p_type", "p_size", "p_name").select(body.alias("body"), F.lit("PPP").alias("record_tag"))
     return parse_xml(records, "body", protection.CATALOGUE_SCHEMA)

@@ -49,7 +49,7 @@ SNAKE_SQL = """regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace
 
 
 @query(f"""
-SELECT doc_id, md5({SNAKE_SQL.format("strip_accents(replace(text, 'ß', ' '))")}) AS named FROM documents
+SELECT doc_id, md5({SNAKE_SQL.format("strip_accents(replace(replace(replace(replace(replace(text, 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae'), 'Œ', 'OE'), 'Æ', 'AE'))")}) AS named FROM documents
 """)
 def q_header_norm(t: Tables):
     """Column-name rule over whole document texts."""

@@ -27,6 +27,15 @@ def test_header_names():
     assert got == ["n", "nom_du_produit", "padding2", "padding3", "_2e_colonne", "code_amm", "padding6", "o_euvre_ete"]
 
 
+def test_one_header_rule(spark):
+    """Readers and the column rule name alike: ligatures, double acutes, marks of their own, letters without a plain form."""
+    cells = ["Œuvre été", "Straße", "Ő Ű", "e\u0301te\u0301", "ǆ ﬁn", "m²", "жизнь 7", "ABCDef", "_x_", "Łódź", "", "½ part", "日本 N°2"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(cells)], "i int, x string")
+    got = [r[0] for r in df.orderBy("i").select(text.snake(F.col("x"))).collect()]
+    assert got == [text.snake_name(x) for x in cells]
+    assert got[:6] == ["o_euvre_ete", "strasse", "o_u", "ete", "dz_fin", "m2"]
+
+
 def test_slug_forms(spark):
     assert s(spark, text.slug, "AB-C d!") == "ab_c_d_"[:-1]
     assert s(spark, text.slug, "AB!!") == "ab_"

@@ -53,11 +53,11 @@ def test_surrogate_dense_across_ranges(spark):
     )
 
 
-@pytest.mark.parametrize("chunk", [1, 2, 3, 1000])
-def test_run_heads_any_chunk(spark, chunk):
+@pytest.mark.parametrize("chunk,levels", [(1, 1), (2, 0), (2, 1), (2, 2), (3, 3), (1000, 2)])
+def test_run_heads_any_chunk(spark, chunk, levels):
     data = [("s", i, v) for i, v in enumerate(["a", "a", None, None, "b", "b", "a"])] + [("t", 7, "a"), ("t", 50, "a"), ("t", 99, "c")]
     df = spark.createDataFrame(data, "sheet string, row int, v string")
-    got = rows(runs.run_heads(df, ["sheet"], "row", F.col("v"), chunk=chunk), "sheet", "row")
+    got = rows(runs.run_heads(df, ["sheet"], "row", F.col("v"), chunk=chunk, levels=levels), "sheet", "row")
     assert got == sorted([("s", 0), ("s", 2), ("s", 4), ("s", 6), ("t", 7), ("t", 99)], key=repr)
 
 

@@ -303,3 +303,34 @@ def test_label_tables_not_called_by_default(raw):
 def test_agro_codes(raw):
     assert rows(registers.edi_codes(raw("repository_id,reference_id,reference_code,reference_label,s,v", [("1", "2", "c", "l", "x", "y")]), "s", "v")) == [(1, 2, "c", "l", "x", "y")]
     assert rows(registers.edi_crops(raw("agroedi_code,agroedi_name,production", [("ZAA", "Blé", None)]))) == [("ZAA", "Blé", None)]
+
+
+def test_load_of_the_catalogue(spark, catalogue, raw):
+    """One call does all steps in order; a missing file leaves out its step and table, an unknown one is an error."""
+    bare = protection.load(catalogue, {})
+    assert sorted(t.removeprefix("registered_phytosanitary_") for t in bare) == ["products", "risks", "usages"]
+    usages = bare["registered_phytosanitary_usages"].collect()
+    assert {u["species"][0] for u in usages} == {"plant"} and all(u["record_checksum"] is not None for u in usages)
+    permits = "n_permis,nom_du_produit,nom_du_produit_importe,produit_de_reference_francais,detenteur_pcp,n_amm_de_reference_francais"
+    full = protection.load(catalogue, {
+        "parallel_trade": raw(permits, [("900", "COPY!", "A", "R", "H", "2090141")]),
+        "cropsets": raw("n,name,label_fr,crop_names,crop_labels_fr", [("1", "zea, sorghum", "Maïs", "a, b", None)]),
+        "exceptions": raw("crop_label,species", [("Blé", "triticum")]),
+        "symbols": raw("mention_danger,description_danger,code_pictogramme", [("H1", "d", "GHS")]),
+    }, store=False)
+    assert len(full) == 5
+    got = {u["crop_label_fra"]: u["species"] for u in full["registered_phytosanitary_usages"].collect()}
+    assert got == {"Blé": ["triticum"], "Maïs": ["zea", "sorghum"]}
+    products = {p["id"]: p for p in full["registered_phytosanitary_products"].collect()}
+    assert products[900]["natures"] == ["Herbicide"] and products[900]["record_checksum"] is not None
+    empty = protection.load(catalogue.limit(0), {"cropsets": raw("n,name,label_fr,crop_names,crop_labels_fr", [])}, store=False)
+    assert all(df.count() == 0 for df in empty.values()) and len(empty) == 4
+    with pytest.raises(ValueError):
+        protection.load(catalogue, {"cropset": catalogue})
+
+
+def test_compact_products_and_extracts(spark):
+    extra = spark.createDataFrame([(1, "x")], "id int, other string")
+    with pytest.raises(ValueError):
+        compact.products(extra)
+    assert compact.products(extra.select("id")).columns == protection.PRODUCTS.schema.fieldNames()
