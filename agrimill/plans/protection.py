@@ -297,7 +297,8 @@ def load(catalogue: DataFrame, raw: Mapping[str, DataFrame], store: bool = True)
     nomenclature varieties (``name``, ``label``), species exceptions (``crop_label``, ``species``), hazard symbols and
     target links. A missing file leaves its step out, and its own table; without crop sets, varieties and exceptions
     alike, every species is the default. Four tables carry a row checksum, taken last. The catalogue feeds three
-    tables: it is parsed once and written to the shared folder unless ``store`` is off.
+    tables: it is parsed once and written to the shared folder unless ``store`` is off; so are products and usages
+    before their checksums, which would repeat every expression of a column.
     """
     unknown = sorted(set(raw) - set(LOAD_INPUTS))
     if unknown:
@@ -314,7 +315,10 @@ def load(catalogue: DataFrame, raw: Mapping[str, DataFrame], store: bool = True)
     if {"cropsets", "varieties", "exceptions"} & set(raw):
         none = records.sparkSession.createDataFrame([], f"name string, label {LABEL}, crop_label string, species string")
         usage_rows = with_species(usage_rows, tables.get(CROPSETS.name, none), raw.get("varieties", none), raw.get("exceptions", none))
-    tables |= {PRODUCTS.name: product_rows, USAGES.name: with_spray_volume(usage_rows), RISKS.name: risks(records)}
+    usage_rows = with_spray_volume(usage_rows)
+    if store:
+        product_rows, usage_rows = stored(product_rows, "products"), stored(usage_rows, "usages")
+    tables |= {PRODUCTS.name: product_rows, USAGES.name: usage_rows, RISKS.name: risks(records)}
     tables = {spec.name: spec.align(with_checksum(tables[spec.name], spec)) for spec in (CROPSETS, PRODUCTS, USAGES, RISKS) if spec.name in tables}
     if "symbols" in raw:
         tables[SYMBOLS.name] = symbols(raw["symbols"])
