@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -338,6 +339,21 @@ def on_edge(e: Column, x: Column, y: Column) -> Column:
     return between_y & between_x & (side == 0)
 
 
+def edge_meets_box(e: Column, low_x: Column, low_y: Column, high_x: Column, high_y: Column) -> Column:
+    """Whether an edge may meet a box; a little widened, so that `covers` says the same of all points of a box that none meets."""
+    dx, dy, tiny = e["x2"] - e["x1"], e["y2"] - e["y1"], F.lit(1e-12)
+    wide, high = tiny * (F.abs(e["x1"]) + F.abs(e["x2"])), tiny * (F.abs(e["y1"]) + F.abs(e["y2"]))
+    near = (
+        (F.least(e["x1"], e["x2"]) - wide <= high_x) & (F.greatest(e["x1"], e["x2"]) + wide >= low_x)
+        & (F.least(e["y1"], e["y2"]) - high <= high_y) & (F.greatest(e["y1"], e["y2"]) + high >= low_y)
+    )
+    corners = [(dx * (y - e["y1"]), dy * (x - e["x1"])) for x in (low_x, high_x) for y in (low_y, high_y)]
+    sides = [(a - b, tiny * (F.abs(a) + F.abs(b)) + F.abs(dy) * wide + F.abs(dx) * high) for a, b in corners]
+    left = reduce(lambda p, q: p & q, [side > slack for side, slack in sides])
+    right = reduce(lambda p, q: p & q, [side < -slack for side, slack in sides])
+    return near & ~left & ~right
+
+
 def _turn(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
     return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
 

@@ -18,6 +18,8 @@ LEVEL_FACTOR = 4.0
 GLOBE_DEGREES = 360.0
 # Shapes of more points are taken apart to be validated; their strips are so many times as high as the mean edge.
 ROW_EDGES, STRIP_EDGES = 64, 8
+# Cells of bundled points get smaller, down to so many levels below the base cell, until they hold so many different points on average.
+BUNDLE_POINTS, FINER_LEVELS = 4, 12
 
 
 def dump(df: DataFrame, col: str, part: str = "part") -> DataFrame:
@@ -192,6 +194,7 @@ def point_in_polygon_join(
     levels: Sequence[int] | None = None,
     hot_rows: int | None = None,
     salts: int = 32,
+    totals: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Points joined to the polygons that cover them, boundary included.
 
@@ -209,6 +212,11 @@ def point_in_polygon_join(
     ``levels`` lists the grid levels to use, any of about eight by default. Fewer
     levels mean fewer look-ups per point; a polygon then goes to the next larger
     level listed, or to several cells of the largest one, so the result is the same.
+
+    With ``totals``, aggregates of points that are named, there are rows for bundles
+    of points instead: columns of the polygon but its shape, and the totals of a
+    bundle it covers. A covered point is in one bundle of its polygon, so totals of
+    totals are those of all points. See ``_bundles_in_polygons``.
     """
     all_levels = list(range(_levels(cell))) if levels is None else sorted(levels)
     # NaN instead of NULL: nothing compares with it, and the join infers no null
@@ -233,6 +241,17 @@ def point_in_polygon_join(
     used = boxed.select("_large", "_level").distinct().collect()  # two rows for each level at most
     px, py = F.coalesce(F.col(f"{point}.x"), nan), F.coalesce(F.col(f"{point}.y"), nan)
     looked_up = points.withColumn("_px", px).withColumn("_py", py)
+    if totals is not None:
+        placed = looked_up.where(~F.isnan("_px") & ~F.isnan("_py"))
+        small = boxed.where("not _large").withColumn("_edges", geo.edges(F.col(shape), depth)).drop("_large", shape)
+        few = _bundles_in_polygons(placed, small, [r["_level"] for r in used if not r["_large"]], all_levels, cell, totals, hot_rows, salts)
+        if not any(r["_large"] for r in used):
+            return few
+        same = placed.groupBy(F.struct(F.col("_px").alias("x"), F.col("_py").alias("y")).alias("_point")).agg(*totals)
+        many = point_in_polygon_join(
+            same, boxed.where("_large").select(*polygons.columns), "_point", shape, depth=depth, cell=cell, levels=levels, hot_rows=hot_rows, salts=salts
+        )
+        return few.unionByName(many.drop("_point", shape))
     in_box = (
         (F.col("_px") >= F.col("_box.minx")) & (F.col("_px") <= F.col("_box.maxx"))
         & (F.col("_py") >= F.col("_box.miny")) & (F.col("_py") <= F.col("_box.maxy"))
@@ -266,6 +285,75 @@ def point_in_polygon_join(
     return many if not levels_of[False] else few.unionByName(many)
 
 
+def _bundles_in_polygons(
+    points: DataFrame,
+    polygons: DataFrame,
+    filed: Sequence[int],
+    all_levels: Sequence[int],
+    cell: float,
+    totals: Sequence[Column],
+    hot_rows: int | None,
+    salts: int,
+) -> DataFrame:
+    """Polygons with the totals of the bundles of points that they cover.
+
+    A bundle is what lies in one grid cell, with the box of its points. Polygons meet the bundles of their level by an
+    equi-join on the cell. A bundle whose box no edge meets is covered as a whole or not at all. One that an edge meets is
+    looked at again by its smaller cells, and what is left of the smallest cells by its points. So a polygon meets bundles
+    along its outline, not all points inside. One job finds how small cells have to be for few different points in each.
+
+    ``points``: _px, _py and what totals are made of; ``polygons``: _box, _level, _edges and what is kept.
+    """
+    kept = [c for c in polygons.columns if c not in ("_box", "_level", "_edges")]
+
+    def grid(x: Column, n: int) -> Column:
+        return F.floor(x / F.lit(cell * LEVEL_FACTOR**n))
+
+    def cells(n: int) -> list[Column]:
+        return [grid(F.col("_px"), n).alias("_cx"), grid(F.col("_py"), n).alias("_cy")]
+
+    usable = [*all_levels[::-1], *range(all_levels[0] - 1, all_levels[0] - 1 - FINER_LEVELS, -1)]
+    different = points.agg(F.approx_count_distinct(F.xxhash64("_px", "_py")), *[F.approx_count_distinct(F.xxhash64(*cells(n))) for n in usable]).first()
+    finest = next((n for n, filled in zip(usable, different[1:]) if different[0] <= BUNDLE_POINTS * filled), usable[-1])
+    top = max([finest, *filed])
+    # Measured once: every level reads the stored ones.
+    polygons = stored(polygons.withColumn("_level", F.greatest("_level", F.lit(finest))), "polygons")
+    begun = {max(n, finest) for n in filed}
+
+    box = ("minx", "miny", "maxx", "maxy")
+    ends = {"minx": F.min("_px"), "miny": F.min("_py"), "maxx": F.max("_px"), "maxy": F.max("_py")}
+    low_x, low_y, high_x, high_y = (F.col(f"_{c}") for c in box)
+    meet = (low_x <= F.col("_box.maxx")) & (high_x >= F.col("_box.minx")) & (low_y <= F.col("_box.maxy")) & (high_y >= F.col("_box.miny"))
+    one = (low_x == high_x) & (low_y == high_y)
+    cut = ~one & F.coalesce(F.exists("_edges", lambda e: geo.edge_meets_box(e, low_x, low_y, high_x, high_y)), F.lit(True))
+    shared = F.struct(
+        F.greatest("_box.minx", low_x).alias("minx"), F.greatest("_box.miny", low_y).alias("miny"),
+        F.least("_box.maxx", high_x).alias("maxx"), F.least("_box.maxy", high_y).alias("maxy"),
+    )
+    covered, waiting = [], None
+    for n in [n for n in usable if finest <= n <= top]:
+        if n in begun:
+            new = polygons.where(F.col("_level") == n).select(*kept, "_edges", "_box")
+            waiting = new if waiting is None else waiting.drop("_cx", "_cy").unionByName(new)
+        if waiting is None:
+            continue
+        met = waiting.select(*kept, "_edges", "_box", F.explode(F.sequence(grid(F.col("_box.minx"), n), grid(F.col("_box.maxx"), n))).alias("_cx"))
+        met = met.select("*", F.explode(F.sequence(grid(F.col("_box.miny"), n), grid(F.col("_box.maxy"), n))).alias("_cy"))
+        bundles = points.groupBy(*cells(n)).agg(*[ends[c].alias(f"_{c}") for c in box], *totals)
+        met = salted_join(met, bundles, ["_cx", "_cy"], "inner", hot_rows=hot_rows, salts=salts, extra=meet).withColumn("_cut", cut)
+        met = met.where(F.col("_cut") | geo.covers(F.col("_edges"), low_x, low_y)).withColumn("_box", shared).drop(*[f"_{c}" for c in box])
+        met = stored(met.withColumn("_edges", F.when(F.col("_cut"), F.col("_edges"))), "bundles")
+        names = [c for c in met.columns if c not in (*kept, "_edges", "_box", "_cx", "_cy", "_cut")]
+        covered.append(met.where("not _cut").select(*kept, *names))
+        waiting = met.where("_cut").select(*kept, "_edges", "_box", "_cx", "_cy")
+    if waiting is None:  # there are no polygons
+        waiting = polygons.select(*kept, "_edges", "_box", F.lit(0).cast("long").alias("_cx"), F.lit(0).cast("long").alias("_cy"))
+    single = points.groupBy("_px", "_py").agg(*totals).select("*", *cells(finest))
+    in_box = F.col("_px").between(F.col("_box.minx"), F.col("_box.maxx")) & F.col("_py").between(F.col("_box.miny"), F.col("_box.maxy"))
+    last = salted_join(waiting, single, ["_cx", "_cy"], "inner", hot_rows=hot_rows, salts=salts, extra=in_box & geo.covers(F.col("_edges"), F.col("_px"), F.col("_py")))
+    return reduce(DataFrame.unionByName, [*covered, last.drop("_edges", "_box", "_cx", "_cy", "_px", "_py")])
+
+
 def _strip_height(edges: Column) -> Column:
     """Height of the strips that a shape's edges are filed by: some times the mean height of its edges."""
     total = F.aggregate(edges, F.lit(0.0), lambda t, e: t + F.abs(e["y2"] - e["y1"]))

@@ -136,14 +136,18 @@ def pip_inputs(t: Tables):
     )
     x, y = (F.col("p_partkey") % 20).cast("double"), (F.floor(F.col("p_partkey") / 20) % 20).cast("double")
     w = F.col("p_size") / 40
-    return pts, t.part.select(F.col("p_partkey").alias("zone"), F.array(F.array(quad(x, y, w, w))).alias("shape"))
+    parts = t.wide("part", "p_partkey", "p_size")
+    return pts, parts.select(F.col("p_partkey").alias("zone"), F.array(F.array(quad(x, y, w, w))).alias("shape"))
+
+
+PIP_TOTALS = [F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first")]
 
 
 @query(PIP_SQL)
 def q_pip_join(t: Tables):
     pts, quads = pip_inputs(t)
-    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25)
-    return hits.groupBy("zone").agg(F.count(F.lit(1)).alias("n_points"), F.min("o_orderkey").alias("first_point"))
+    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25, totals=PIP_TOTALS)
+    return hits.groupBy("zone").agg(F.sum("n").alias("n_points"), F.min("first").alias("first_point"))
 
 
 @query(PIP_SQL)

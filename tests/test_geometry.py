@@ -201,6 +201,45 @@ def test_point_in_polygon_join_matches_brute_force(spark, options):
     assert got == want
 
 
+@pytest.mark.parametrize("options", [{}, {"cell": 0.5, "levels": [1, 3], "hot_rows": 20, "salts": 3}])
+def test_totals_of_bundled_points_match_brute_force(spark, options):
+    rnd = random.Random(6)
+    polys = []
+    for k in range(40):
+        cx, cy, size = rnd.uniform(-20, 20), rnd.uniform(-20, 20), rnd.choice([0.05, 0.5, 3, 15])
+        angles = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(70 if k == 7 else 7))
+        pts = [(cx + size * rnd.uniform(0.4, 1) * math.cos(a), cy + size * rnd.uniform(0.4, 1) * math.sin(a)) for a in angles]
+        polys.append((k, pts + pts[:1]))
+    polys += [(50 + i, ring(i, i, 4, 3)) for i in range(-5, 5)] + [(50, ring(0, 0, 9, 9))]
+    points = [(i, rnd.uniform(-25, 25), rnd.uniform(-25, 25)) for i in range(400)] + [(500 + i, rnd.gauss(3, 0.1), rnd.gauss(3, 0.1)) for i in range(200)]
+    points += [(1000 + i, *polys[i][1][0]) for i in range(10)] + [(2000 + i, 3.0, 3.0) for i in range(50)] + [(3000 + i, i % 9 - 0.0, i % 7 + 0.5) for i in range(63)]
+    pdf = spark.createDataFrame([(i, (x, y)) for i, x, y in points] + [(9999, None), (9998, (None, 3.0))], f"pid int, p {POINT}")
+    gdf = spark.createDataFrame([(k, [[r]]) for k, r in polys] + [(99, None), (98, [])], f"gid int, g {MULTIPOLYGON}")
+    totals = [F.count(F.lit(1)).alias("n"), F.min("pid").alias("first")]
+    hits = ops.point_in_polygon_join(pdf, gdf, "p", "g", **{"cell": 1.0, **options}, totals=totals)
+    assert hits.columns == ["gid", "n", "first"]
+    got = {r["gid"]: (r["n"], r["first"]) for r in hits.groupBy("gid").agg(F.sum("n").alias("n"), F.min("first").alias("first")).collect()}
+    inside = {}
+    for k, r in polys:
+        inside.setdefault(k, []).extend(i for i, x, y in points if brute(x, y, r))
+    assert got == {k: (len(v), min(v)) for k, v in inside.items() if v}
+    none = ops.point_in_polygon_join(pdf, gdf.where("gid < 0"), "p", "g", cell=90.0, totals=totals)
+    assert none.columns == hits.columns and none.isEmpty()
+    assert ops.point_in_polygon_join(pdf.where("pid < 0"), gdf.where("gid <> 7"), "p", "g", cell=90.0, totals=totals).isEmpty()
+
+
+def test_bundles_of_points_are_no_pairs(spark):
+    from driver_queries.spatial import PIP_TOTALS
+
+    # 20,000 points that are all different, and 30 polygons around most of them.
+    pts = spark.range(20_000).select(F.col("id").alias("o_orderkey"), geo.point(F.col("id") * 0.00731 % 10, F.col("id") * 0.01937 % 10).alias("p"))
+    quads = spark.createDataFrame([(k, [[ring(0.01 * k, 0.02 * k, 9, 9)]]) for k in range(30)], f"zone int, g {MULTIPOLYGON}")
+    hits = ops.point_in_polygon_join(pts, quads, "p", "g", cell=1.0, totals=PIP_TOTALS)
+    pairs = ops.point_in_polygon_join(pts, quads, "p", "g", cell=1.0)
+    assert rows(hits.groupBy("zone").agg(F.sum("n"), F.min("first"))) == rows(pairs.groupBy("zone").agg(F.count(F.lit(1)), F.min("o_orderkey")))
+    assert hits.count() < pairs.count() / 10
+
+
 def test_join_is_an_equi_join(spark):
     pdf = spark.createDataFrame([(1, (0.0, 0.0))], f"pid int, p {POINT}")
     gdf = spark.createDataFrame([(1, [[ring(0, 0, 1, 1)]])], f"gid int, g {MULTIPOLYGON}")
