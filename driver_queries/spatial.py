@@ -154,8 +154,8 @@ def q_pip_join(t: Tables):
 def q_pip_join_salted(t: Tables):
     """Same join with crowded cells split by salt, and only two grid levels."""
     pts, quads = pip_inputs(t)
-    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25, levels=[0, 1], hot_rows=200, salts=4)
-    return hits.groupBy("zone").agg(F.count(F.lit(1)).alias("n_points"), F.min("o_orderkey").alias("first_point"))
+    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25, levels=[0, 1], hot_rows=200, salts=4, totals=PIP_TOTALS)
+    return hits.groupBy("zone").agg(F.sum("n").alias("n_points"), F.min("first").alias("first_point"))
 
 
 @query("""
