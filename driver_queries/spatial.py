@@ -140,13 +140,14 @@ def pip_inputs(t: Tables):
     return pts, parts.select(F.col("p_partkey").alias("zone"), F.array(F.array(quad(x, y, w, w))).alias("shape"))
 
 
-PIP_TOTALS = [F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first")]
+def pip_totals():
+    return [F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first")]
 
 
 @query(PIP_SQL)
 def q_pip_join(t: Tables):
     pts, quads = pip_inputs(t)
-    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25, totals=PIP_TOTALS)
+    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25, totals=pip_totals())
     return hits.groupBy("zone").agg(F.sum("n").alias("n_points"), F.min("first").alias("first_point"))
 
 
@@ -154,7 +155,7 @@ def q_pip_join(t: Tables):
 def q_pip_join_salted(t: Tables):
     """Same join with crowded cells split by salt, and only two grid levels."""
     pts, quads = pip_inputs(t)
-    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25, levels=[0, 1], hot_rows=200, salts=4, totals=PIP_TOTALS)
+    hits = ops.point_in_polygon_join(pts, quads, "centroid", "shape", cell=0.25, levels=[0, 1], hot_rows=200, salts=4, totals=pip_totals())
     return hits.groupBy("zone").agg(F.sum("n").alias("n_points"), F.min("first").alias("first_point"))
 
 

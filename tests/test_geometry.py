@@ -229,12 +229,12 @@ def test_totals_of_bundled_points_match_brute_force(spark, options):
 
 
 def test_bundles_of_points_are_no_pairs(spark):
-    from driver_queries.spatial import PIP_TOTALS
+    from driver_queries.spatial import pip_totals
 
     # 20,000 points that are all different, and 30 polygons around most of them.
     pts = spark.range(20_000).select(F.col("id").alias("o_orderkey"), geo.point(F.col("id") * 0.00731 % 10, F.col("id") * 0.01937 % 10).alias("p"))
     quads = spark.createDataFrame([(k, [[ring(0.01 * k, 0.02 * k, 9, 9)]]) for k in range(30)], f"zone int, g {MULTIPOLYGON}")
-    hits = ops.point_in_polygon_join(pts, quads, "p", "g", cell=1.0, totals=PIP_TOTALS)
+    hits = ops.point_in_polygon_join(pts, quads, "p", "g", cell=1.0, totals=pip_totals())
     pairs = ops.point_in_polygon_join(pts, quads, "p", "g", cell=1.0)
     assert rows(hits.groupBy("zone").agg(F.sum("n"), F.min("first"))) == rows(pairs.groupBy("zone").agg(F.count(F.lit(1)), F.min("o_orderkey")))
     assert hits.count() < pairs.count() / 10
