@@ -22,6 +22,16 @@ def distinct_text(col: Column, sep: str = " | ") -> Column:
     return F.array_join(F.array_sort(F.collect_set(col)), sep)
 
 
+def min_text(col: Column) -> Column:
+    """Minimum of a text column, for few groups of very many rows.
+
+    A plain minimum of texts sorts all rows of a task by group first. Beside a collected set, here an empty one, groups
+    are kept in a hash map instead, one row for each; a task that meets more than 128 groups goes back to sorting.
+    """
+    nothing = F.get(F.collect_set(F.when(F.lit(False), col)), F.lit(0))
+    return F.coalesce(F.min(col), nothing)
+
+
 def min_text_as_int(col: Column, numeric: bool = False) -> Column:
     """Minimum of a text column cast to int. Text order unless ``numeric``."""
     return F.min(col.cast("int")) if numeric else F.min(col).cast("int")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from agrimill.functions import dates, lookups, numbers, text
 from agrimill.operators import joins, keyed
 from agrimill.operators.reshape import union_families
+from agrimill.session import stored
 from agrimill.specs import TableSpec
 
 _PRODUCTION = {"production": ("master_productions", "reference_name")}
@@ -115,7 +116,12 @@ def yields(raw: DataFrame, zones: DataFrame) -> DataFrame:
         "zone", "specie", "production", numbers.decimal_comma(F.col("yield_value"), 8, 2).alias("yield_value"), "yield_unit",
         F.col("campaign").cast("int").alias("campaign"),
     )
-    return YIELDS.align(joins.region_fan_out(rows, zones, "zone", upper=False).drop("zone"))
+    return YIELDS.align(joins.region_fan_out(rows, _measured(zones), "zone", upper=False).drop("zone"))
+
+
+def _measured(zones: DataFrame) -> DataFrame:
+    """Zones stored, so that Spark knows their size: what it guesses for a join behind them may make it broadcast the rows instead."""
+    return stored(zones.select("department", "region"), "zones")
 
 
 def _feed(
@@ -148,6 +154,7 @@ def production_prices(raw: Mapping[str, DataFrame], zones: DataFrame) -> DataFra
     ``milk_cow_prices`` and, optionally, ``meat_prices`` have an ``organic`` flag.
     """
     month = dates.first_of_month(F.col("year"), F.col("month"))
+    zones = _measured(zones)
     parts = []
     if "crop_prices" in raw:
         parts.append(_feed(raw["crop_prices"], zones, "farmer_price", month, 1, 0, F.col("campaign")))

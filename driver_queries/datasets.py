@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from agrimill.functions import geometry as geo
+from agrimill.operators.aggregates import min_text
 from agrimill.plans import compact, hydrography, land, market, prices, productions, protection, registers, units, variants, weather, workflows
 from driver_queries.registry import Tables, query
 from driver_queries.spatial import lambert_sql, pt, quad
@@ -411,7 +412,7 @@ def d_yields(t: Tables):
     )
     y = productions.yields(raw, zones)
     return y.groupBy("department_zone").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("yield_value").cast("double").alias("total"), F.min("production").alias("production")
+        F.count(F.lit(1)).alias("n"), F.sum("yield_value").cast("double").alias("total"), min_text(c("production")).alias("production")
     )
 
 

@@ -204,3 +204,26 @@ def test_rows_are_numbered_in_a_global_order(spark):
     assert number_rows(df.limit(0), "n", ["a"]).collect() == []
     same = spark.range(1000).select(F.lit(1).alias("a"))
     assert sorted(r["n"] for r in number_rows(same, "n", ["a"]).collect()) == list(range(1, 1001))
+
+
+def test_min_text_sorts_no_rows(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "B"), (1, None), (2, "é"), (2, "z"), (3, None), (None, "x"), (4, "")], "k int, t string")
+    out = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), aggregates.min_text(F.col("t")).alias("t"))
+    assert rows(out) == sorted([(1, 3, "B"), (2, 2, "z"), (3, 1, None), (None, 1, "x"), (4, 1, "")], key=repr)
+    assert out.schema["t"].dataType.simpleString() == "string"
+    assert "Sort" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_yields_are_summed_up_without_a_sort(spark, tmp_path):
+    from driver_queries import QUERIES
+
+    spark.createDataFrame([(0, "AFRICA"), (1, "ASIA")], "r_regionkey long, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    spark.createDataFrame([(0, "KENYA", 0), (1, "CHINA", 1), (2, "INDIA", 1)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(f"{tmp_path}/nation.parquet")
+    parts = [(1, "pea", "B1", "SMALL", 1, 2.5), (2, "oat", "B2", "SMALL", 1, 1.25), (3, "rye", "B3", "PROMO", 1, 4.0), (4, "fig", "B4", "LARGE", 1, 9.0)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    out = QUERIES["d_yields"](spark, str(tmp_path))
+    assert rows(out) == [("CHINA", 2, 3.75, "oat"), ("INDIA", 2, 3.75, "oat"), ("KENYA", 1, 4.0, "rye")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    # The departments are broadcast, never the yields.
+    assert "BuildRight" in plan and "BuildLeft" not in plan
